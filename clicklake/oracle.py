@@ -121,4 +121,6 @@ def with_views(views: list[str], query: str) -> str:
     if not ordered:
         return query.strip()
     ctes = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in ordered)
-    return f"WITH {ctes}\n{query.strip()}"
+    # A query that starts with a comma goes on with views of its own.
+    joint = "" if query.lstrip().startswith(",") else "\n"
+    return f"WITH {ctes}{joint}{query.strip()}"

@@ -48,38 +48,42 @@ def explore_job(spark: SparkSession, lake: str) -> int:
     return int(seen.get["rows"])
 
 
-def read_star(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
-    """All star tables; a table that was not built yet is empty."""
+def read_star(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
+    """All star tables below ``gold``; a table that was not built yet is empty."""
     star = {}
     for name, schema in STAR_TABLES.items():
-        path = f"{lake}/gold/{name}"
+        path = f"{gold}/{name}"
         present = not list_files(spark, path).isEmpty()
         star[name] = spark.read.schema(schema).parquet(path) if present else empty(spark, schema)
     return star
 
 
-def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None) -> None:
-    """Silver clicks and the newest urls and users -> star schema.
+def publish_star(
+    gold: str, urls: DataFrame, users: DataFrame, silver: DataFrame, old: dict[str, DataFrame] | None = None,
+    order: list[str] | None = None, broadcast_bytes: int | None = None,
+) -> None:
+    """Build the star schema below ``gold``.
 
-    Dimensions are built first and read back, so that the fact sees their final keys and sizes.
-    Clicks that cannot get a url or date go to ``gold/fact_rejects``. The fact lies in one
-    directory per day; the rebalance splits a day that is too big for one task and merges small ones.
+    Dimensions are written first and read back, so that the fact sees their final keys and sizes
+    and computes none of them twice. Clicks that cannot get a url or date go to ``fact_rejects``.
+    The fact lies in one directory per day; the rebalance splits a day that is too big for one
+    task and merges small ones.
     """
-    gold = f"{lake}/gold"
-    old = read_star(spark, lake)
+    spark = silver.sparkSession
+    old = old or {}
 
     def previous(name: str) -> DataFrame | None:
-        return None if old[name].isEmpty() else old[name].drop("row_loaded_at")
+        return None if name not in old or old[name].isEmpty() else old[name].drop("row_loaded_at")
 
+    devices = dims.devices(spark)
+    if previous("dim_device") is not None:
+        devices = old["dim_device"].unionByName(dims.insert_missing(old["dim_device"], devices, "device_type"))
     publish(dims.calendar(spark).coalesce(1), f"{gold}/dim_date")
-    publish(dims.insert_missing(old["dim_device"], dims.devices(spark), "device_type").unionByName(old["dim_device"]).coalesce(1), f"{gold}/dim_device")
-    urls = _all_versions(spark, lake, "urls")
-    users = _all_versions(spark, lake, "users")
-    publish(dims.stamped(dims.dim_url(urls, previous("dim_url"), ["ingestion_date"]), DIM_URL), f"{gold}/dim_url")
-    publish(dims.stamped(dims.dim_user(users, previous("dim_user"), ["ingestion_date"]), DIM_USER), f"{gold}/dim_user")
-
-    star = read_star(spark, lake)
-    silver = spark.read.schema(SILVER_CLICKS).parquet(f"{lake}/silver/clicks")
+    publish(devices.coalesce(1), f"{gold}/dim_device")
+    publish(dims.stamped(dims.dim_url(urls, previous("dim_url"), order), DIM_URL), f"{gold}/dim_url")
+    publish(dims.stamped(dims.dim_user(users, previous("dim_user"), order), DIM_USER), f"{gold}/dim_user")
+
+    star = read_star(spark, gold)
     resolved = facts.resolve_clicks(
         silver, star["dim_date"], star["dim_url"], star["dim_user"], star["dim_device"], broadcast_bytes
     )
@@ -88,5 +92,15 @@ def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None)
     publish(facts.fact_rejects(resolved), f"{gold}/fact_rejects")
 
 
-def _all_versions(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    return read_snapshots(spark, f"{lake}/bronze", table)
+def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None) -> None:
+    """Silver clicks and the newest urls and users -> star schema, keeping the keys given before."""
+    gold = f"{lake}/gold"
+    publish_star(
+        gold,
+        read_snapshots(spark, f"{lake}/bronze", "urls"),
+        read_snapshots(spark, f"{lake}/bronze", "users"),
+        spark.read.schema(SILVER_CLICKS).parquet(f"{lake}/silver/clicks"),
+        read_star(spark, gold),
+        ["ingestion_date"],
+        broadcast_bytes,
+    )

@@ -14,7 +14,11 @@ def write(df: DataFrame, path: str, fmt: str) -> None:
     """Write ``df`` in one format. Text formats carry ISO times; Parquet is snappy-compressed."""
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("timestampFormat", TIME_FORMAT).option("emptyValue", '""')
+        # Blanks around a text belong to it; by default the writer would cut them off.
+        writer = writer.options(
+            header="true", timestampFormat=TIME_FORMAT, emptyValue='""',
+            ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+        )
     elif fmt == "json":
         writer = writer.option("timestampFormat", TIME_FORMAT)
     else:

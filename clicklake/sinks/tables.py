@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clicklake.schemas import STAR_TABLES, WATERMARK_DIGITS, empty
+from clicklake.session import configure
+from clicklake.sources.listing import list_files
 
 
 def _replace_partition(df: DataFrame, root: str, partition: dict[str, str]) -> int:
@@ -18,6 +19,7 @@ def _replace_partition(df: DataFrame, root: str, partition: dict[str, str]) -> i
     commits. The count is observed in the writing stage itself, where Spark takes each task's
     figure once even if the task ran twice.
     """
+    configure(df.sparkSession)
     seen = Observation()
     counted = df.sortWithinPartitions("id") if "id" in df.columns else df
     counted = counted.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -58,7 +60,7 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     A plain overwrite deletes first and leaves nothing behind if the job fails. On object stores a
     rename is a copy, so the swap is short there but not atomic.
     """
-    spark = df.sparkSession
+    spark = configure(df.sparkSession)
     parent, name = path.rstrip("/").rsplit("/", 1)
     staged = f"{parent}/_staging/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "snappy")
@@ -75,13 +77,12 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
 
 
 def append(df: DataFrame, path: str) -> None:
+    configure(df.sparkSession)
     df.write.mode("append").option("compression", "snappy").parquet(path)
 
 
 def create_star_tables(spark: SparkSession, gold: str) -> None:
     """Create every star table that is not there yet, empty and typed."""
-    from clicklake.sources.listing import list_files
-
     for name, schema in STAR_TABLES.items():
         if list_files(spark, f"{gold}/{name}").isEmpty():
             append(empty(spark, schema), f"{gold}/{name}")
@@ -95,7 +96,3 @@ def delete_rows(df: DataFrame, column: str, floor: int) -> DataFrame:
 def repartitioned(df: DataFrame, partitions: int) -> DataFrame:
     """The same rows in another number of partitions."""
     return df.repartition(partitions)
-
-
-def schema_of(spark: SparkSession, path: str) -> T.StructType:
-    return spark.read.parquet(path).schema

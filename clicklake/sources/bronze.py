@@ -33,8 +33,14 @@ def _footer_types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = []
         for path in batch["path"]:
             system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            schema = pq.read_schema(inner, filesystem=system)
-            found.append("|".join(f"{f.name}={f.type}" for f in schema))
+            footer = pq.read_metadata(inner, filesystem=system)
+            physical = {footer.schema.column(i).name: footer.schema.column(i).physical_type for i in range(footer.num_columns)}
+            # INT96 shows up as nanoseconds although Spark reads it as a plain timestamp.
+            types = {
+                f.name: "timestamp[96]" if physical.get(f.name) == "INT96" else str(f.type)
+                for f in footer.schema.to_arrow_schema()
+            }
+            found.append("|".join(f"{name}={kind}" for name, kind in types.items()))
         yield pd.DataFrame({"path": batch["path"], "types": found})
 
 

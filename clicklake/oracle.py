@@ -124,3 +124,11 @@ def with_views(views: list[str], query: str) -> str:
     # A query that starts with a comma goes on with views of its own.
     joint = "" if query.lstrip().startswith(",") else "\n"
     return f"WITH {ctes}{joint}{query.strip()}"
+
+
+def scatter(number: str, seed: int) -> str:
+    """SQL twin of the spread integer behind the generators."""
+    prime = 2147483647
+    first = f"((({number}) % {prime}) * 48271 + {(seed * 69621 + 11) % prime}) % {prime}"
+    second = f"(({first}) * ({first}) + {seed + 1}) % {prime}"
+    return f"((({second}) * 16807 + ({first})) % {prime})"

@@ -19,6 +19,7 @@ from clicklake.operators import contracts as ct
 from clicklake.operators import dims, facts, pii, quality, silver, storage
 from clicklake.operators import ledger as lg
 from clicklake.operators.dedup import freshest
+from clicklake.oracle import scatter as scatter_sql
 from clicklake.oracle import with_views
 from clicklake.plans import metrics, refine
 from clicklake.schemas import STAR_KEYS, STAR_LENGTHS
@@ -872,6 +873,153 @@ def dq_freshness(spark, sf):
     return quality.freshness(lg.summary(fx.ledger_runs(spark, sf)), limits, _NOW)
 
 
+# --- Generators: as many rows as the given tables have -------------------------------------------
+
+_GEN_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
+_DEVICE_SQL = "CASE WHEN {d} % 100 < 60 THEN 'mobile' WHEN {d} % 100 < 95 THEN 'desktop' ELSE 'tablet' END"
+_DOMAIN_SQL = "['example.com', 'github.com', 'news.example', 'shop.example', 'blog.example'][{d} % 5 + 1]"
+
+
+def _picked(pool: str, key: str, columns: str = "*") -> str:
+    return f"(SELECT {columns}, row_number() OVER (ORDER BY {key}) AS pick FROM {pool})"
+
+
+def _pick(seed: int, pool: str, g: str = "g") -> str:
+    return f"{scatter_sql(g, seed)} % (SELECT count(*) FROM {pool}) + 1"
+
+
+def _numbered(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    return fx.table(spark, sf, name).select(F.col(key).alias("g"))
+
+
+@register(
+    "gen_clicks_source",
+    f"""SELECT 900000000 + g AS id, u.short_code, {_GEN_SQL} AS occurred_at,
+          ['mobile', 'desktop', 'tablet', 'unknown'][g % 4 + 1] AS device_type, md5(concat('synthetic-ip-', g)) AS hashed_ip,
+          CASE WHEN g % 5 <> 0 THEN p.id END AS user_id
+        FROM (SELECT event_id AS g FROM events)
+        JOIN {_picked('src_urls', 'id')} u ON u.pick = {_pick(42, 'src_urls')}
+        JOIN {_picked('src_users', 'id')} p ON p.pick = {_pick(43, 'src_users')}""",
+    ["src_urls", "src_users"],
+)
+def gen_clicks_source(spark, sf):
+    rows = _numbered(spark, sf, "events", "event_id")
+    return naive(
+        generators.source_clicks(rows, fx.src_urls(spark, sf), fx.src_users(spark, sf), _GEN_NOW), "occurred_at"
+    )
+
+
+@register(
+    "gen_clicks_weighted",
+    f"""SELECT g + 1 AS id, concat('abc', lpad(CAST(g % 500 AS VARCHAR), 3, '0')) AS short_code,
+          {_GEN_SQL} + to_seconds(g) AS occurred_at, {_DEVICE_SQL.format(d=scatter_sql('g', 42))} AS device_type,
+          lpad(printf('%x', g), 64, '0') AS hashed_ip,
+          CASE WHEN {scatter_sql('g', 43)} % 100 < 30 THEN {scatter_sql('g', 44)} % 200 + 1 END AS user_id
+        FROM (SELECT event_id AS g FROM events)""",
+)
+def gen_clicks_weighted(spark, sf):
+    return naive(generators.weighted_clicks(_numbered(spark, sf, "events", "event_id")), "occurred_at")
+
+
+def _year(spark: SparkSession) -> DataFrame:
+    return dims.date_keys_of_year(dims.calendar(spark), 2026)
+
+
+@register(
+    "gen_star_urls",
+    f""", days AS (SELECT date_key FROM dim_date WHERE year = 2026)
+        SELECT 900000 + g AS url_key, 900000 + g AS url_id, concat('bench', lpad(CAST(g AS VARCHAR), 6, '0')) AS short_code,
+          {_DOMAIN_SQL.format(d=scatter_sql('g', 42))} AS original_url_domain, {scatter_sql('g', 43)} % 10 <> 0 AS is_active,
+          d.date_key AS created_date_key
+        FROM (SELECT page_id AS g FROM pages) JOIN {_picked('days', 'date_key')} d ON d.pick = {_pick(44, 'days')}""",
+    ["dim_date"],
+)
+def gen_star_urls(spark, sf):
+    return generators.star_urls(_numbered(spark, sf, "pages", "page_id"), _year(spark))
+
+
+@register(
+    "gen_star_users",
+    f"""SELECT 900000 + g AS user_key, 900000 + g AS user_id, ['FREE', 'PREMIUM'][{scatter_sql('g', 45)} % 2 + 1] AS plan_type,
+          true AS is_known
+        FROM (SELECT c_custkey AS g FROM customer)""",
+)
+def gen_star_users(spark, sf):
+    return generators.star_users(_numbered(spark, sf, "customer", "c_custkey"))
+
+
+@register(
+    "gen_star_clicks",
+    f""", days AS (SELECT date_key FROM dim_date WHERE year = 2026),
+        draws AS (SELECT event_id AS g, {scatter_sql('event_id', 46)} % (SELECT count(*) FROM pages) AS url FROM events)
+        SELECT 900000000 + g AS click_id, d.date_key, 900000 + url AS url_key,
+          CASE WHEN {scatter_sql('g', 47)} % 5 = 0 THEN -1
+            ELSE 900000 + {scatter_sql('g', 48)} % (SELECT count(*) FROM customer) END AS user_key,
+          CAST({scatter_sql('g', 49)} % 4 + 1 AS INTEGER) AS device_key,
+          concat('bench', lpad(CAST(url AS VARCHAR), 6, '0')) AS short_code, {_GEN_SQL} AS occurred_at,
+          CAST(1 AS SMALLINT) AS click_count
+        FROM draws JOIN {_picked('days', 'date_key')} d ON d.pick = {_pick(50, 'days')}""",
+    ["dim_date"],
+)
+def gen_star_clicks(spark, sf):
+    n_urls = fx.table(spark, sf, "pages").count()
+    n_users = fx.table(spark, sf, "customer").count()
+    rows = _numbered(spark, sf, "events", "event_id")
+    return naive(generators.star_clicks(rows, n_urls, n_users, _year(spark), _GEN_NOW), "occurred_at")
+
+
+_LETTERS_SQL = ", ".join(
+    f"chr(CAST(97 + (((g % {26**6}) * 48271 + {42 * 7919}) % {26**6}) // {26**place} % 26 AS INTEGER))" for place in range(6)
+)
+_SEED_URLS_SQL = f"""SELECT g + 1 AS id, concat({_LETTERS_SQL}, CASE WHEN g >= {26**6} THEN CAST(g // {26**6} AS VARCHAR) ELSE '' END)
+    AS short_code, concat('https://', {_DOMAIN_SQL.format(d=scatter_sql('g', 44))}, '/', g) AS original_url,
+    {_GEN_SQL} AS created_at, true AS is_active FROM (SELECT page_id AS g FROM pages)"""
+_SEED_USERS_SQL = f"""SELECT g + 1 AS id, concat('user', g, '@example.com') AS email,
+    CASE WHEN {scatter_sql('g', 42)} % 100 < 85 THEN 'FREE' ELSE 'PREMIUM' END AS plan_type, {_GEN_SQL} AS created_at
+    FROM (SELECT c_custkey AS g FROM customer)"""
+
+
+def _seed_clicks_sql(source: str, seed: int, minutes: int, first: str) -> str:
+    return f"""SELECT g + {first} AS id, u.short_code,
+          {_GEN_SQL} - to_minutes({scatter_sql('g', seed + 2)} % {minutes + 1}) AS occurred_at,
+          {_DEVICE_SQL.format(d=scatter_sql('g', seed + 3))} AS device_type, sha256(concat('{seed}-', g)) AS hashed_ip,
+          CASE WHEN {scatter_sql('g', seed + 4)} % 100 < 30 THEN p.id END AS user_id
+        FROM {source} JOIN {_picked('seed_urls', 'id')} u ON u.pick = {_pick(seed, 'seed_urls')}
+        JOIN {_picked('seed_users', 'id')} p ON p.pick = {_pick(seed + 1, 'seed_users')}"""
+
+
+def _seeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    urls = generators.seed_urls(_numbered(spark, sf, "pages", "page_id"), _GEN_NOW)
+    return urls, generators.seed_users(_numbered(spark, sf, "customer", "c_custkey"), _GEN_NOW)
+
+
+@register("gen_seed_urls", _SEED_URLS_SQL)
+def gen_seed_urls(spark, sf):
+    return naive(_seeds(spark, sf)[0], "created_at")
+
+
+@register("gen_seed_users", _SEED_USERS_SQL)
+def gen_seed_users(spark, sf):
+    return naive(_seeds(spark, sf)[1], "created_at")
+
+
+@register(
+    "gen_seed_clicks",
+    f"""WITH seed_urls AS ({_SEED_URLS_SQL}), seed_users AS ({_SEED_USERS_SQL}),
+        early AS ({_seed_clicks_sql('(SELECT event_id AS g FROM events)', 42, 14399, '1')}),
+        late AS ({_seed_clicks_sql('(SELECT o_orderkey AS g FROM orders)', 43, 180, '(SELECT max(id) + 1 FROM early)')})
+        SELECT * FROM early UNION ALL SELECT * FROM late""",
+)
+def gen_seed_clicks(spark, sf):
+    """First batch over ten days, then a later one over three hours that goes on after its ids."""
+    urls, users = _seeds(spark, sf)
+    early = generators.seed_clicks(_numbered(spark, sf, "events", "event_id"), urls, users, _GEN_NOW, 14399)
+    first = early.agg(F.max("id") + 1).scalar()
+    rows = _numbered(spark, sf, "orders", "o_orderkey")
+    late = generators.seed_clicks(rows, urls, users, _GEN_NOW, 180, first, generators.LATER_SEED)
+    return naive(early.unionByName(late), "occurred_at")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, (query, _) in REGISTRY.items()}
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clicklake.functions.columns import scatter, weighted_choice, zero_padded
 from clicklake.operators.keys import number_rows
+from clicklake.operators.lookup import lookup
 from clicklake.schemas import DEVICE_TYPES, UNKNOWN_USER_KEY
 
 # Floors that keep synthetic ids apart from real ones, shares and name lists.
@@ -35,12 +36,11 @@ def _one_of(values: list, draw: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (draw % len(values) + 1).cast("int"))
 
 
-def _member(rows: DataFrame, pool: DataFrame, draw: Column, columns: dict[str, str]) -> DataFrame:
-    """Give each row one member of ``pool`` (unique on ``id``) by its evenly spread draw."""
+def _member(rows: DataFrame, pool: DataFrame, draw: Column, column: str, out: str) -> DataFrame:
+    """Give each row ``column`` of one member of ``pool`` (unique on ``id``) by its evenly spread draw."""
     size = pool.agg(F.count(F.lit(1))).scalar()
-    numbered = number_rows(pool.select("id", *[c for c in columns if c != "id"]), "id", "_pick")
-    members = numbered.select("_pick", *[F.col(c).alias(name) for c, name in columns.items()])
-    return rows.withColumn("_pick", draw % size + 1).join(members, "_pick", "left").drop("_pick")
+    members = number_rows(pool.select("id", F.col(column).alias(out)), "id", "_pick")
+    return lookup(rows.withColumn("_pick", draw % size + 1), members, "_pick", out, "g").drop("_pick")
 
 
 def source_clicks(
@@ -53,8 +53,8 @@ def source_clicks(
     """
     g = F.col("g")
     draw = (lambda s: F.lit(0).cast("bigint")) if hot_key else (lambda s: scatter(g, s))
-    picked = _member(rows, urls, draw(seed), {"short_code": "short_code"})
-    picked = _member(picked, users, draw(seed + 1), {"id": "_user"})
+    picked = _member(rows, urls, draw(seed), "short_code", "short_code")
+    picked = _member(picked, users, draw(seed + 1), "id", "_user")
     return picked.select(
         (F.lit(id_floor) + g).alias("id"),
         "short_code",
@@ -78,19 +78,22 @@ def weighted_clicks(rows: DataFrame, start: str = "2026-01-01", seed: int = SEED
     )
 
 
+def _days(dates: DataFrame) -> DataFrame:
+    return dates.select(F.col("date_key").cast("bigint").alias("id"), "date_key")
+
+
 def star_urls(rows: DataFrame, dates: DataFrame, seed: int = SEED) -> DataFrame:
     """Synthetic ``dim_url``: 90 % active, one of five domains. ``dates`` has the date keys to use."""
     g = F.col("g")
-    urls = rows.select(
+    dated = _member(rows, _days(dates), scatter(g, seed + 2), "date_key", "created_date_key")
+    return dated.select(
         (F.lit(SYNTHETIC_KEY_FLOOR) + g).alias("url_key"),
         (F.lit(SYNTHETIC_KEY_FLOOR) + g).alias("url_id"),
         F.concat(F.lit("bench"), zero_padded(g, 6)).alias("short_code"),
         _one_of(DOMAINS, scatter(g, seed)).alias("original_url_domain"),
         (scatter(g, seed + 1) % 10 != 0).alias("is_active"),
-        scatter(g, seed + 2).alias("_draw"),
+        "created_date_key",
     )
-    dated = _member(urls, dates.select(F.col("date_key").cast("bigint").alias("id")), F.col("_draw"), {"id": "created_date_key"})
-    return dated.drop("_draw")
 
 
 def star_users(rows: DataFrame, seed: int = SEED) -> DataFrame:
@@ -110,18 +113,17 @@ def star_clicks(
     g = F.col("g")
     url = scatter(g, seed + 4) % n_urls
     user = F.lit(SYNTHETIC_KEY_FLOOR) + scatter(g, seed + 6) % n_users
-    clicks = rows.select(
+    dated = _member(rows, _days(dates), scatter(g, seed + 8), "date_key", "date_key")
+    return dated.select(
         (F.lit(SYNTHETIC_CLICK_FLOOR) + g).alias("click_id"),
+        "date_key",
         (F.lit(SYNTHETIC_KEY_FLOOR) + url).alias("url_key"),
         F.when(scatter(g, seed + 5) % 5 == 0, F.lit(UNKNOWN_USER_KEY)).otherwise(user).alias("user_key"),
         (scatter(g, seed + 7) % len(DEVICE_TYPES) + 1).cast("int").alias("device_key"),
         F.concat(F.lit("bench"), zero_padded(url, 6)).alias("short_code"),
         F.lit(now).cast("timestamp").alias("occurred_at"),
         F.lit(1).cast("smallint").alias("click_count"),
-        scatter(g, seed + 8).alias("_draw"),
     )
-    dated = _member(clicks, dates.select(F.col("date_key").cast("bigint").alias("id")), F.col("_draw"), {"id": "date_key"})
-    return dated.drop("_draw")
 
 
 def _code(g: Column, seed: int) -> Column:
@@ -129,8 +131,8 @@ def _code(g: Column, seed: int) -> Column:
     codes = 26**6
     # The factor shares no divisor with 26, so the mapping is one to one.
     shuffled = ((g % codes) * 48271 + seed * 7919) % codes
-    letters = [F.chr(97 + F.floor(shuffled / 26**place).cast("bigint") % 26) for place in range(6)]
-    rounds = F.floor(g / codes).cast("bigint")
+    letters = [F.chr(97 + F.call_function("div", shuffled, F.lit(26**place)) % 26) for place in range(6)]
+    rounds = F.call_function("div", g, F.lit(codes))
     return F.concat(*letters, F.when(rounds > 0, rounds.cast("string")).otherwise(""))
 
 
@@ -165,8 +167,8 @@ def seed_clicks(
     A later batch continues after the largest id so far: pass it as ``first_id`` with another seed.
     """
     g = F.col("g")
-    picked = _member(rows, urls, scatter(g, seed), {"short_code": "short_code"})
-    picked = _member(picked, users, scatter(g, seed + 1), {"id": "_user"})
+    picked = _member(rows, urls, scatter(g, seed), "short_code", "short_code")
+    picked = _member(picked, users, scatter(g, seed + 1), "id", "_user")
     age = scatter(g, seed + 2) % (minutes_back + 1)
     return picked.select(
         (g + first_id).alias("id"),

@@ -22,6 +22,12 @@ def connect(sf_dir: str):
     return db
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "DATE": "date", "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double",
+}
+
+
 def canonical(columns: list[str], rows) -> list[str]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
@@ -36,6 +42,9 @@ def compare(spark, db, name: str, query, sql: str, sf_dir: str) -> str | None:
     theirs = canonical(columns, result.fetchall())
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    sql_types = {r[0]: SPARK_TYPES.get(r[1], r[1]) for r in db.execute(f"DESCRIBE {sql}").fetchall()}
+    if dict(df.dtypes) != sql_types:
+        return f"types differ: {sorted(set(dict(df.dtypes).items()) ^ set(sql_types.items()))}"
     if len(ours) != len(theirs):
         return f"rows {len(ours)} != {len(theirs)}"
     wrong = [(a, b) for a, b in zip(ours, theirs, strict=True) if a != b]

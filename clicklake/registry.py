@@ -833,15 +833,15 @@ def dq_key_checks(spark, sf):
 
 @register(
     "dq_immutable_rows",
-    """SELECT id, CASE WHEN id % 2000 = 0 THEN 'vanished' ELSE 'changed' END AS change FROM src_clicks
-       WHERE id % 2000 = 0 OR (id % 300 = 0 AND device_type IS DISTINCT FROM 'desktop')""",
+    """SELECT id, CASE WHEN trim(short_code) = '' THEN 'vanished' ELSE 'changed' END AS change FROM src_clicks
+       WHERE trim(short_code) = '' OR (occurred_at IS NULL AND device_type IS DISTINCT FROM 'desktop')""",
     ["src_clicks"],
 )
 def dq_immutable_rows(spark, sf):
-    """Against a later snapshot in which some rows were deleted and some have another device."""
+    """Against a later snapshot that lost the rows without a code and changed the device of those without a time."""
     before = fx.src_clicks(spark, sf)
-    later = before.where(F.col("id") % 2000 != 0).withColumn(
-        "device_type", F.when(F.col("id") % 300 == 0, "desktop").otherwise(F.col("device_type"))
+    later = before.where(F.trim("short_code") != "").withColumn(
+        "device_type", F.when(F.col("occurred_at").isNull(), "desktop").otherwise(F.col("device_type"))
     )
     return quality.changed_rows(before, later, "id")
 

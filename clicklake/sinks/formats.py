@@ -10,13 +10,13 @@ from clicklake.sources.listing import list_files
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def write(df: DataFrame, path: str, fmt: str) -> None:
+def write(df: DataFrame, path: str, fmt: str, null_text: str = "") -> None:
     """Write ``df`` in one format. Text formats carry ISO times; Parquet is snappy-compressed."""
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         # Blanks around a text belong to it; by default the writer would cut them off.
         writer = writer.options(
-            header="true", timestampFormat=TIME_FORMAT, emptyValue='""',
+            header="true", timestampFormat=TIME_FORMAT, nullValue=null_text, emptyValue='""',
             ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
         )
     elif fmt == "json":

@@ -9,12 +9,17 @@ from clicklake.schemas import CLICKS
 FORMATS = ["csv", "json", "parquet"]
 
 
-def scan(spark: SparkSession, path: str, fmt: str, schema=CLICKS, columns: list[str] | None = None) -> DataFrame:
-    """Full scan, or only ``columns``. Only Parquet skips the bytes of the other columns."""
+def scan(
+    spark: SparkSession, path: str, fmt: str, schema=CLICKS, columns: list[str] | None = None, null_text: str = ""
+) -> DataFrame:
+    """Full scan, or only ``columns``. Only Parquet skips the bytes of the other columns.
+
+    CSV has no NULL: by default an empty field is one, quoted or not. Give the writer and the
+    reader another ``null_text`` to keep empty texts apart.
+    """
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        # Quoted empty text stays text; an empty field is NULL.
-        reader = reader.option("header", "true").option("nullValue", "").option("emptyValue", '""')
+        reader = reader.options(header="true", nullValue=null_text, emptyValue="")
     df = reader.format(fmt).load(path)
     return df.select(*columns) if columns else df
 

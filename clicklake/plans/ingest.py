@@ -14,7 +14,7 @@ from clicklake.operators.ledger import current_runs, last_watermark
 from clicklake.schemas import ERROR_TEXT_LIMIT, RUN_EVENTS, empty
 from clicklake.sinks.tables import append, write_batch, write_snapshot
 from clicklake.sources.bronze import watermark_from_snapshot
-from clicklake.sources.listing import list_files
+from clicklake.sources.listing import exists
 from clicklake.sources.relational import Source, full_scan, incremental_scan, upper_bound
 
 logger = logging.getLogger(__name__)
@@ -84,7 +84,7 @@ class Ledger:
         )
 
     def events(self) -> DataFrame:
-        if list_files(self.spark, self.path).isEmpty():
+        if not exists(self.spark, self.path):
             return empty(self.spark, RUN_EVENTS)
         return self.spark.read.schema(RUN_EVENTS).parquet(self.path)
 

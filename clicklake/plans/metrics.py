@@ -7,6 +7,8 @@ key and input partition instead of one row per click, which also removes the eff
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,16 +69,20 @@ def additive_check(fact: DataFrame) -> DataFrame:
     )
 
 
-def metric_catalogue(star: dict[str, DataFrame], min_click_id: int | None = None) -> dict[str, DataFrame]:
-    """Every metric by name, over a star given as table name -> DataFrame."""
-    fact, url, user = star["fact_clicks"], star["dim_url"], star["dim_user"]
-    return {
-        "total_clicks_per_url": total_clicks_per_url(fact, url, min_click_id),
-        "clicks_over_time": clicks_over_time(fact, star["dim_date"], min_click_id),
-        "clicks_by_device_type": clicks_by_device_type(fact, star["dim_device"], min_click_id),
-        "top_10_urls_by_clicks": top_urls(fact, url, 10, min_click_id),
-        "anonymous_vs_attributed_share": anonymous_vs_attributed(fact, user, min_click_id),
-        "clicks_by_plan_type": clicks_by_plan_type(fact, user, min_click_id),
-        "clicks_by_destination_domain": clicks_by_domain(fact, url, min_click_id),
-        "active_vs_inactive_url_share": active_vs_inactive(fact, url, min_click_id),
-    }
+# Each metric by name, with the dimension it needs.
+CATALOGUE = {
+    "total_clicks_per_url": (total_clicks_per_url, "dim_url"),
+    "clicks_over_time": (clicks_over_time, "dim_date"),
+    "clicks_by_device_type": (clicks_by_device_type, "dim_device"),
+    "top_10_urls_by_clicks": (partial(top_urls, k=10), "dim_url"),
+    "anonymous_vs_attributed_share": (anonymous_vs_attributed, "dim_user"),
+    "clicks_by_plan_type": (clicks_by_plan_type, "dim_user"),
+    "clicks_by_destination_domain": (clicks_by_domain, "dim_url"),
+    "active_vs_inactive_url_share": (active_vs_inactive, "dim_url"),
+}
+
+
+def metric(name: str, star: dict[str, DataFrame], min_click_id: int | None = None) -> DataFrame:
+    """One metric of the catalogue over a star given as table name -> DataFrame."""
+    build, dimension = CATALOGUE[name]
+    return build(star["fact_clicks"], star[dimension], min_click_id=min_click_id)

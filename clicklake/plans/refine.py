@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicklake.operators import dims, facts
+from clicklake.operators.lookup import plan_bytes
 from clicklake.operators.silver import COPIES, clean_clicks, deduplicate_counting, valid_clicks
 from clicklake.schemas import DIM_URL, DIM_USER, FACT_CLICKS, SILVER_CLICKS, STAR_TABLES, empty
-from clicklake.sinks.tables import publish
+from clicklake.sinks.tables import publish, publish_split
 from clicklake.sources.bronze import read_bronze, read_snapshots
-from clicklake.sources.listing import list_files
+from clicklake.sources.listing import exists
+
+# Size of the Silver clicks from which a directory per day gets files of a useful size.
+PARTITION_BYTES = 256 * 1024**3
 
 
 def silver_clicks(bronze: DataFrame) -> DataFrame:
@@ -50,24 +54,36 @@ def explore_job(spark: SparkSession, lake: str) -> int:
 
 def read_star(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
     """All star tables below ``gold``; a table that was not built yet is empty."""
-    star = {}
-    for name, schema in STAR_TABLES.items():
-        path = f"{gold}/{name}"
-        present = not list_files(spark, path).isEmpty()
-        star[name] = spark.read.schema(schema).parquet(path) if present else empty(spark, schema)
-    return star
+    return {
+        name: spark.read.schema(schema).parquet(f"{gold}/{name}") if exists(spark, f"{gold}/{name}") else empty(spark, schema)
+        for name, schema in STAR_TABLES.items()
+    }
+
+
+def read_rejects(spark: SparkSession, gold: str) -> DataFrame:
+    """Clicks that got no place in the fact, with the reason."""
+    return spark.read.parquet(f"{gold}/fact_rejects").select("click_id", "short_code", "occurred_at", "reject_reason")
 
 
 def publish_star(
-    gold: str, urls: DataFrame, users: DataFrame, silver: DataFrame, old: dict[str, DataFrame] | None = None,
-    order: list[str] | None = None, broadcast_bytes: int | None = None,
+    gold: str,
+    urls: DataFrame,
+    users: DataFrame,
+    silver: DataFrame,
+    old: dict[str, DataFrame] | None = None,
+    order: list[str] | None = None,
+    broadcast_bytes: int | None = None,
+    partition_bytes: int = PARTITION_BYTES,
 ) -> None:
     """Build the star schema below ``gold``.
 
     Dimensions are written first and read back, so that the fact sees their final keys and sizes
-    and computes none of them twice. Clicks that cannot get a url or date go to ``fact_rejects``.
-    The fact lies in one directory per day; the rebalance splits a day that is too big for one
-    task and merges small ones.
+    and computes none of them twice. One pass over the clicks then writes both the fact and
+    ``fact_rejects``, the clicks that cannot get a url or date.
+
+    A big fact lies in one directory per day; a small one, for which such directories would hold
+    tiny files, is only sorted by day. The rebalance sizes the output files either way: it splits
+    what is too big for one task, such as a day with a third of all clicks, and merges the rest.
     """
     spark = silver.sparkSession
     old = old or {}
@@ -87,9 +103,15 @@ def publish_star(
     resolved = facts.resolve_clicks(
         silver, star["dim_date"], star["dim_url"], star["dim_user"], star["dim_device"], broadcast_bytes
     )
-    fact = dims.stamped(facts.fact_clicks(resolved), FACT_CLICKS)
-    publish(fact.hint("rebalance", "date_key"), f"{gold}/fact_clicks", ["date_key"])
-    publish(facts.fact_rejects(resolved), f"{gold}/fact_rejects")
+    rows = resolved.select(
+        *[c for c in FACT_CLICKS.names if c != "row_loaded_at"],
+        F.current_timestamp().alias("row_loaded_at"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNull(), "fact_clicks").otherwise("fact_rejects").alias("_table"),
+    )
+    days = ["date_key"] if plan_bytes(silver) >= partition_bytes else []
+    rows = rows.hint("rebalance", "_table", *days).sortWithinPartitions("_table", "date_key")
+    publish_split(rows, "_table", {name: f"{gold}/{name}" for name in ("fact_clicks", "fact_rejects")}, days)
 
 
 def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clicklake.schemas import STAR_TABLES, WATERMARK_DIGITS, empty
 from clicklake.session import configure
-from clicklake.sources.listing import list_files
+from clicklake.sources.listing import exists
 
 
 def _replace_partition(df: DataFrame, root: str, partition: dict[str, str]) -> int:
@@ -54,26 +54,43 @@ def write_batch(df: DataFrame, lake: str, table: str, start: int, end: int) -> t
     return f"bronze/{table}/incremental/watermark_start={first}/watermark_end={last}", rows
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the table at ``path``: write it aside in full, then rename.
-
-    A plain overwrite deletes first and leaves nothing behind if the job fails. On object stores a
-    rename is a copy, so the swap is short there but not atomic.
-    """
-    spark = configure(df.sparkSession)
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    staged = f"{parent}/_staging/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(staged)
+def _swap(spark: SparkSession, staged: str, path: str) -> bool:
+    """Put the staged directory in the place of ``path``; False if nothing was staged."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(staged), hadoop.Path(path)
     files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(source):
+        return False
     files.delete(target, True)
     files.mkdirs(target.getParent())
     if not files.rename(source, target):
         raise OSError(f"could not move {staged} to {path}")
+    return True
+
+
+def _staging(path: str) -> str:
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_staging/{name}-{uuid.uuid4().hex}"
+
+
+def publish(df: DataFrame, path: str) -> None:
+    """Replace the table at ``path``: write it aside in full, then rename.
+
+    A plain overwrite deletes first and leaves nothing behind if the job fails. On object stores a
+    rename is a copy, so the swap is short there but not atomic.
+    """
+    spark, staged = configure(df.sparkSession), _staging(path)
+    df.write.option("compression", "snappy").parquet(staged)
+    _swap(spark, staged, path)
+
+
+def publish_split(df: DataFrame, by: str, paths: dict[str, str], partition_by: list[str] | None = None) -> None:
+    """Replace several tables in one pass: rows whose ``by`` is a key of ``paths`` go to its path."""
+    spark, staged = configure(df.sparkSession), _staging(next(iter(paths.values())))
+    df.write.option("compression", "snappy").partitionBy(by, *(partition_by or [])).parquet(staged)
+    for value, path in paths.items():
+        if not _swap(spark, f"{staged}/{by}={value}", path):
+            publish(df.drop(by).limit(0), path)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -84,7 +101,7 @@ def append(df: DataFrame, path: str) -> None:
 def create_star_tables(spark: SparkSession, gold: str) -> None:
     """Create every star table that is not there yet, empty and typed."""
     for name, schema in STAR_TABLES.items():
-        if list_files(spark, f"{gold}/{name}").isEmpty():
+        if not exists(spark, f"{gold}/{name}"):
             append(empty(spark, schema), f"{gold}/{name}")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 _LISTING = "path string, modificationTime timestamp, length bigint"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
@@ -19,7 +19,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
     Spark lists directories in parallel; the file content column is never selected, so no file is
     opened.
     """
-    if not _exists(spark, folder):
+    if not exists(spark, folder):
         return spark.createDataFrame([], _LISTING)
     return (
         spark.read.format("binaryFile")

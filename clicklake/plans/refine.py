@@ -10,7 +10,7 @@ from clicklake.operators.lookup import plan_bytes
 from clicklake.operators.silver import COPIES, clean_clicks, deduplicate_counting, valid_clicks
 from clicklake.schemas import DIM_URL, DIM_USER, FACT_CLICKS, SILVER_CLICKS, STAR_TABLES, empty
 from clicklake.sinks.tables import publish, publish_split
-from clicklake.sources.bronze import read_bronze, read_snapshots
+from clicklake.sources.bronze import latest_snapshot_day, read_bronze, read_date_range, read_snapshots
 from clicklake.sources.listing import exists
 
 # Size of the Silver clicks from which a directory per day gets files of a useful size.
@@ -115,14 +115,17 @@ def publish_star(
 
 
 def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None) -> None:
-    """Silver clicks and the newest urls and users -> star schema, keeping the keys given before."""
-    gold = f"{lake}/gold"
-    publish_star(
-        gold,
-        read_snapshots(spark, f"{lake}/bronze", "urls"),
-        read_snapshots(spark, f"{lake}/bronze", "users"),
-        spark.read.schema(SILVER_CLICKS).parquet(f"{lake}/silver/clicks"),
-        read_star(spark, gold),
-        ["ingestion_date"],
-        broadcast_bytes,
-    )
+    """Silver clicks and the newest urls and users -> star schema, keeping the keys given before.
+
+    Snapshots that an earlier run has worked in are not read again, but for the last day, which a
+    rerun may have replaced. The days are noted below ``gold/progress`` once the star is in place.
+    """
+    gold, bronze = f"{lake}/gold", f"{lake}/bronze"
+    done = {}
+    if exists(spark, f"{gold}/progress"):
+        done = {r["source_table"]: r["last_day"] for r in spark.read.parquet(f"{gold}/progress").collect()}
+    newest = {table: latest_snapshot_day(spark, bronze, table) for table in ("urls", "users")}
+    urls, users = (read_date_range(spark, bronze, t, done.get(t, "0001-01-01"), day) for t, day in newest.items())
+    silver = spark.read.schema(SILVER_CLICKS).parquet(f"{lake}/silver/clicks")
+    publish_star(gold, urls, users, silver, read_star(spark, gold), ["ingestion_date"], broadcast_bytes)
+    publish(spark.createDataFrame(list(newest.items()), "source_table string, last_day string").coalesce(1), f"{gold}/progress")

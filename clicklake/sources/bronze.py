@@ -6,12 +6,12 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicklake.schemas import SOURCE_TABLES, conform
-from clicklake.sources.listing import list_files
+from clicklake.schemas import SOURCE_TABLES, conform, empty
+from clicklake.sources.listing import has_files, list_files, partition_values
 
 _SPARK_NAMES = {
     "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float", "double": "double",
@@ -55,6 +55,11 @@ def _read_type(arrow_type: str) -> str | None:
     return _SPARK_NAMES.get(arrow_type)
 
 
+def _all_below(spark: SparkSession, schema: T.StructType | str) -> DataFrameReader:
+    reader = spark.read.schema(schema)
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+
+
 def _read_group(spark: SparkSession, paths: list[str], types: str, schema: T.StructType) -> DataFrame:
     have = dict(pair.split("=", 1) for pair in types.split("|") if pair)
     fields, columns = [], []
@@ -71,7 +76,7 @@ def _read_group(spark: SparkSession, paths: list[str], types: str, schema: T.Str
         else:
             fields.append(f"`{field.name}` {kind}")
             columns.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
-    return spark.read.schema(", ".join(fields)).parquet(*paths).select(*columns)
+    return _all_below(spark, ", ".join(fields)).parquet(*paths).select(*columns)
 
 
 def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files: bool = False) -> DataFrame:
@@ -83,21 +88,25 @@ def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files
     group per combination of types. ``own_files=True`` skips that for a lake written only by this
     library, whose files all have the declared types.
     """
-    schema = SOURCE_TABLES[table]
-    files = list_files(spark, f"{root}/{table}")
-    if own_files:
-        if files.isEmpty():
-            raise FileNotFoundError(f"no Bronze files of {table} under {root}")
-        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/{table}")
-        return conform(rows, schema)
-    groups: dict[str, list[str]] = {}
-    # The path list reaches the driver here as it does for any multi-path read.
-    for row in files.select("path").mapInPandas(_footer_types, "path string, types string").toLocalIterator():
-        groups.setdefault(row["types"], []).append(row["path"])
-    if not groups:
+    schema, folder = SOURCE_TABLES[table], f"{root}/{table}"
+    if not has_files(spark, folder):
         raise FileNotFoundError(f"no Bronze files of {table} under {root}")
-    parts = [_read_group(spark, sorted(paths), types, schema) for types, paths in sorted(groups.items())]
-    return reduce(DataFrame.unionByName, parts)
+    if own_files:
+        return conform(_all_below(spark, schema).parquet(folder), schema)
+
+    files = list_files(spark, folder).select("path").mapInPandas(_footer_types, "path string, types string").persist()
+    try:
+        kinds = [r["types"] for r in files.select("types").distinct().collect()]
+        if len(kinds) == 1:
+            return _read_group(spark, [folder], kinds[0], schema)
+        # A scan of some files of a folder needs their names, which Spark keeps on the driver anyway.
+        parts = []
+        for types in sorted(kinds):
+            paths = files.where(F.col("types") == types).select("path").orderBy("path").toLocalIterator()
+            parts.append(_read_group(spark, [r["path"] for r in paths], types, schema))
+        return reduce(DataFrame.unionByName, parts)
+    finally:
+        files.unpersist()
 
 
 def read_snapshots(spark: SparkSession, root: str, table: str = "clicks") -> DataFrame:
@@ -107,18 +116,24 @@ def read_snapshots(spark: SparkSession, root: str, table: str = "clicks") -> Dat
 
 
 def read_date_range(spark: SparkSession, root: str, table: str, start: str, end: str) -> DataFrame:
-    """Snapshots of the days ``start`` to ``end``, both included; other directories are not read."""
-    day = F.col("ingestion_date")
-    return read_snapshots(spark, root, table).where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Snapshots of the days ``start`` to ``end``, both included.
+
+    Only the directories of those days are listed. No snapshot in the range gives an empty frame.
+    """
+    base = f"{root}/{table}"
+    days = [day for day in partition_values(spark, base, "ingestion_date") if start <= day <= end]
+    if not days:
+        return empty(spark, SOURCE_TABLES[table]).withColumn("ingestion_date", F.lit(None).cast("date"))
+    rows = spark.read.option("basePath", base).parquet(*[f"{base}/ingestion_date={day}" for day in days])
+    return rows.where(F.col("ingestion_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
 def latest_snapshot_day(spark: SparkSession, root: str, table: str = "clicks") -> str:
-    """Date of the newest full snapshot, from the file listing alone."""
-    day = F.regexp_extract("path", "/ingestion_date=([0-9-]+)/", 1)
-    newest = list_files(spark, f"{root}/{table}").select(day.alias("day")).where("day <> ''").agg(F.max("day")).first()[0]
-    if newest is None:
+    """Date of the newest full snapshot, from directory names alone."""
+    days = partition_values(spark, f"{root}/{table}", "ingestion_date")
+    if not days:
         raise FileNotFoundError(f"no full snapshot of {table} under {root}")
-    return newest
+    return days[-1]
 
 
 def watermark_from_snapshot(spark: SparkSession, root: str, table: str = "clicks") -> int:

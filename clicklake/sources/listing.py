@@ -5,29 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicklake.session import scratch_path
+
 _LISTING = "path string, modificationTime timestamp, length bigint"
+_PACKING = "spark.sql.files.maxPartitionBytes"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def has_files(spark: SparkSession, folder: str, suffix: str = ".parquet") -> bool:
+    """Whether there is any such file below ``folder``. Stops at the first."""
+    files, target = _file_system(spark, folder)
+    if not files.exists(target):
+        return False
+    found = files.listFiles(target, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
+def partition_values(spark: SparkSession, folder: str, column: str) -> list[str]:
+    """Values of the ``column=value`` directories right below ``folder``, sorted. One directory listing."""
+    files, target = _file_system(spark, f"{folder}/{column}=*")
+    found = files.globStatus(target) or []
+    return sorted(entry.getPath().getName().split("=", 1)[1] for entry in found)
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
     """Every file below ``folder`` with its size; empty when the folder does not exist.
 
     Spark lists directories in parallel; the file content column is never selected, so no file is
-    opened.
+    opened. The listing is written to the shared folder, which freezes it for all that compare
+    against it. Scan tasks are packed by file size, which means nothing to a listing, so while it
+    is written the limit is lifted: it takes one task per core, not one per file.
     """
     if not exists(spark, folder):
         return spark.createDataFrame([], _LISTING)
-    return (
+    files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
         .select("path", "modificationTime", "length")
     )
+    packing, frozen = spark.conf.get(_PACKING), scratch_path(spark, "listing")
+    spark.conf.set(_PACKING, str(2**60))
+    try:
+        files.write.parquet(frozen)
+    finally:
+        spark.conf.set(_PACKING, packing)
+    return spark.read.schema(_LISTING).parquet(frozen)
 
 
 def relative_key(path: Column, marker: str = "bronze") -> Column:
@@ -42,6 +78,4 @@ def stored_keys(files: DataFrame, marker: str = "bronze") -> DataFrame:
 
 def bronze_objects(files: DataFrame, marker: str = "bronze") -> DataFrame:
     """Listing with paths relative to the lake, the form the storage reports take."""
-    return files.select(
-        F.regexp_extract("path", f"(?:^|/)({marker}/.*)$", 1).alias("path"), "length"
-    )
+    return files.select(F.regexp_extract("path", f"(?:^|/)({marker}/.*)$", 1).alias("path"), "length")

@@ -102,6 +102,7 @@ def test_own_files_need_no_footer_pass(spark, tmp_path):
 @pytest.mark.parametrize("own_files", [False, True])
 def test_no_files_is_an_error(spark, tmp_path, own_files):
     (tmp_path / "urls").mkdir()
+    (tmp_path / "clicks").mkdir()
     with pytest.raises(FileNotFoundError):
         bronze.read_bronze(spark, str(tmp_path), own_files=own_files)
 
@@ -118,10 +119,22 @@ def test_discovery_is_sorted_and_keeps_to_its_table(spark, tmp_path):
     assert bronze.bronze_files(spark, str(tmp_path), "visits").isEmpty()
 
 
-def test_listing_opens_no_file(spark, tmp_path):
+def test_a_listing_is_frozen_and_does_not_change_the_session(spark, tmp_path):
     put(tmp_path, FULL.format("2026-09-01"), [1])
-    plan = plan_of(listing.list_files(spark, str(tmp_path)))
-    assert "content" not in plan.split("ReadSchema")[1]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    files = listing.list_files(spark, str(tmp_path))
+    put(tmp_path, FULL.format("2026-09-02"), [2])
+    assert files.count() == 1 and files.first()["length"] > 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert listing.list_files(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_uniform_files_are_one_scan_of_the_folder(spark, tmp_path):
+    put(tmp_path, FULL.format("2026-09-01"), [1])
+    put(tmp_path, BATCH.format(1, 2), [2])
+    (tmp_path / "clicks" / "notes.txt").write_text("not data")
+    out = bronze.read_bronze(spark, str(tmp_path))
+    assert plan_of(out).count("FileScan parquet") == 1 and out.count() == 2
 
 
 def test_date_range_is_inclusive_and_pruned(spark, tmp_path):
@@ -130,7 +143,9 @@ def test_date_range_is_inclusive_and_pruned(spark, tmp_path):
     put(tmp_path, BATCH.format(4, 5), [5])
     out = bronze.read_date_range(spark, str(tmp_path), "clicks", "2026-09-02", "2026-09-03")
     assert sorted(r["id"] for r in out.collect()) == [2, 3]
-    assert "PartitionFilters: [isnotnull(ingestion_date" in plan_of(out)
+    plan = plan_of(out)
+    assert "PartitionFilters: [isnotnull(ingestion_date" in plan and "InMemoryFileIndex(2 paths)" in plan
+    assert bronze.read_date_range(spark, str(tmp_path), "clicks", "2027-01-01", "2027-12-31").isEmpty()
 
 
 def test_full_snapshots_leave_batches_out(spark, tmp_path):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,21 @@ DEFAULT_PIPELINE = {
     ],
 }
 
+
+def load_pipeline(path: str) -> dict:
+    """Pipeline description from a JSON file, or YAML where a parser is installed."""
+    text = Path(path).read_text()
+    if path.endswith((".yaml", ".yml")):
+        import yaml
+
+        pipeline = yaml.safe_load(text)
+    else:
+        pipeline = json.loads(text)
+    if not {"pipeline_name", "tables"} <= pipeline.keys():
+        raise ValueError(f"pipeline {path} needs 'pipeline_name' and 'tables'")
+    return pipeline
+
+
 Clock = Callable[[], datetime]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -485,8 +486,12 @@ def fact_rejects(spark, sf):
        UNION ALL SELECT 'short_code', count(*) FROM silver
          WHERE short_code NOT IN (SELECT short_code FROM dim_url WHERE short_code IS NOT NULL)
        UNION ALL SELECT 'device_type', count(*) FROM silver WHERE device_type NOT IN (SELECT device_type FROM dim_device)
+       UNION ALL SELECT 'date_key', count(*) FROM fact_clicks WHERE date_key NOT IN (SELECT date_key FROM dim_date)
        UNION ALL SELECT 'url_key', count(*) FROM fact_clicks WHERE url_key NOT IN (SELECT url_key FROM dim_url)
-       UNION ALL SELECT 'date_key', count(*) FROM fact_clicks WHERE date_key NOT IN (SELECT date_key FROM dim_date)""",
+       UNION ALL SELECT 'user_key', count(*) FROM fact_clicks WHERE user_key NOT IN (SELECT user_key FROM dim_user)
+       UNION ALL SELECT 'device_key', count(*) FROM fact_clicks WHERE device_key NOT IN (SELECT device_key FROM dim_device)
+       UNION ALL SELECT 'created_date_key', count(*) FROM dim_url
+         WHERE created_date_key NOT IN (SELECT date_key FROM dim_date)""",
     ["silver", "dim_user", "dim_url", "dim_device", "fact_clicks"],
 )
 def fk_violations(spark, sf):
@@ -495,9 +500,13 @@ def fk_violations(spark, sf):
         rows, {"user_id": star["dim_user"], "short_code": star["dim_url"], "device_type": star["dim_device"]}
     )
     fact = facts.foreign_key_violations(
-        star["fact_clicks"], {"url_key": star["dim_url"], "date_key": star["dim_date"]}
+        star["fact_clicks"],
+        {"date_key": star["dim_date"], "url_key": star["dim_url"], "user_key": star["dim_user"], "device_key": star["dim_device"]},
+    )
+    created = star["dim_date"].withColumnRenamed("date_key", "created_date_key")
+    return clicks.unionByName(fact).unionByName(
+        facts.foreign_key_violations(star["dim_url"], {"created_date_key": created})
     )
-    return clicks.unionByName(fact)
 
 
 @register(
@@ -813,22 +822,28 @@ def dq_unique_short_code(spark, sf):
     return clicks.unionByName(urls).unionByName(users)
 
 
-@register(
-    "dq_key_checks",
-    """SELECT 'dim_url' AS "table", 'url_key' AS "column", 'unique' AS "check",
-         CAST(count(url_key) - count(DISTINCT url_key) AS BIGINT) AS violations FROM dim_url
-       UNION ALL SELECT 'dim_url', 'url_id', 'unique', count(url_id) - count(DISTINCT url_id) FROM dim_url
-       UNION ALL SELECT 'dim_url', 'short_code', 'length', count(*) FILTER (WHERE length(short_code) > 16) FROM dim_url
-       UNION ALL SELECT 'dim_url', 'original_url_domain', 'length', count(*) FILTER (WHERE length(original_url_domain) > 255)
-         FROM dim_url
-       UNION ALL SELECT 'fact_clicks', 'click_id', 'unique', count(click_id) - count(DISTINCT click_id) FROM fact_clicks
-       UNION ALL SELECT 'fact_clicks', 'short_code', 'length', count(*) FILTER (WHERE length(short_code) > 16) FROM fact_clicks""",
-    ["dim_url", "fact_clicks"],
-)
+def _key_check_sql() -> str:
+    """Both checks of every star table, from the same lists of keys and lengths."""
+    parts = []
+    for name in _CHECKED:
+        for key in STAR_KEYS[name]:
+            parts.append(f"SELECT '{name}', '{key}', 'unique', count({key}) - count(DISTINCT {key}) FROM {name}")
+        for column, limit in STAR_LENGTHS[name].items():
+            over = f"count(*) FILTER (WHERE length({column}) > {limit})"
+            parts.append(f"SELECT '{name}', '{column}', 'length', {over} FROM {name}")
+    rows = " UNION ALL ".join(parts)
+    return f"""SELECT c1 AS "table", c2 AS "column", c3 AS "check", CAST(c4 AS BIGINT) AS violations
+               FROM ({rows}) AS checks(c1, c2, c3, c4)"""
+
+
+_CHECKED = ["dim_date", "dim_url", "dim_user", "dim_device", "fact_clicks"]
+
+
+@register("dq_key_checks", _key_check_sql(), _CHECKED)
 def dq_key_checks(spark, sf):
     star = _star(spark, sf)
-    reports = [quality.key_report(star[t], t, STAR_KEYS[t], STAR_LENGTHS[t]) for t in ("dim_url", "fact_clicks")]
-    return reports[0].unionByName(reports[1])
+    reports = [quality.key_report(star[t], t, STAR_KEYS[t], STAR_LENGTHS[t]) for t in _CHECKED]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @register(

@@ -233,3 +233,12 @@ def test_parquet_source(spark, tmp_path):
     assert source("clicks").count() == 3
     with pytest.raises(ExtractionError):
         source("visits")
+
+
+def test_pipeline_files(tmp_path):
+    path = tmp_path / "p.json"
+    path.write_text('{"pipeline_name": "p", "tables": [{"name": "clicks", "load_type": "incremental"}]}')
+    assert ingest.load_pipeline(str(path))["tables"][0]["name"] == "clicks"
+    path.write_text('{"tables": []}')
+    with pytest.raises(ValueError):
+        ingest.load_pipeline(str(path))

@@ -119,6 +119,30 @@ def test_unmatched_rows_spread_in_the_shuffled_lookup(spark):
     assert "hashpartitioning(_probe" in plan and "_slot" in plan.split("hashpartitioning(_probe")[1][:40]
 
 
+def test_hot_and_missing_keys_spread_evenly(spark):
+    """A third of the rows on one key and a third without: no partition of the shuffle stands out."""
+    rows = spark.range(30_000).selectExpr(
+        "id", "CASE id % 3 WHEN 0 THEN 7 WHEN 1 THEN NULL ELSE 1000 + id % 5000 END AS k"
+    )
+    members = spark.range(6000).selectExpr("id AS k", "CAST(id AS INT) AS v")
+    settings = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = lookup(rows, members, "k", "v", "id", broadcast_bytes=0)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        found = joined.where("v IS NOT NULL").count()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 30_000 and found == 20_000
+    assert len(sizes) == 8 and max(sizes) < 1.5 * 30_000 / 8
+
+
 def _parts(spark, sf):
     silver = deduplicate_clicks(clean_clicks(fx.bronze_clicks(spark, sf)))
     return silver, dims.calendar(spark), dims.dim_url(fx.src_urls(spark, sf)), dims.dim_user(fx.src_users(spark, sf)), dims.devices(spark)

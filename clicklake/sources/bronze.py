@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,24 +23,34 @@ def bronze_files(spark: SparkSession, root: str, table: str) -> DataFrame:
     return list_files(spark, f"{root}/{table}").select("path", "length").orderBy("path")
 
 
-def _footer_types(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Column types of each file, read from its footer inside the task."""
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+def _footer_reader() -> Callable[[Iterator], Iterator]:
+    """A function for tasks that reads the column types of each file from its footer.
 
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-            footer = pq.read_metadata(inner, filesystem=system)
-            physical = {footer.schema.column(i).name: footer.schema.column(i).physical_type for i in range(footer.num_columns)}
-            # INT96 shows up as nanoseconds although Spark reads it as a plain timestamp.
-            types = {
-                f.name: "timestamp[96]" if physical.get(f.name) == "INT96" else str(f.type)
-                for f in footer.schema.to_arrow_schema()
-            }
-            found.append("|".join(f"{name}={kind}" for name, kind in types.items()))
-        yield pd.DataFrame({"path": batch["path"], "types": found})
+    It is an inner function with its own imports, so it travels to executors by value and they
+    need no copy of this package.
+    """
+
+    def footer_types(batches):
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+                footer = pq.read_metadata(inner, filesystem=system)
+                leaves = (footer.schema.column(i) for i in range(footer.num_columns))
+                physical = {leaf.name: leaf.physical_type for leaf in leaves}
+                # INT96 shows up as nanoseconds although Spark reads it as a plain timestamp.
+                types = {
+                    f.name: "timestamp[96]" if physical.get(f.name) == "INT96" else str(f.type)
+                    for f in footer.schema.to_arrow_schema()
+                }
+                found.append("|".join(f"{name}={kind}" for name, kind in types.items()))
+            yield pd.DataFrame({"path": batch["path"], "types": found})
+
+    return footer_types
 
 
 def _read_type(arrow_type: str) -> str | None:
@@ -94,7 +103,7 @@ def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files
     if own_files:
         return conform(_all_below(spark, schema).parquet(folder), schema)
 
-    files = list_files(spark, folder).select("path").mapInPandas(_footer_types, "path string, types string").persist()
+    files = list_files(spark, folder).select("path").mapInPandas(_footer_reader(), "path string, types string").persist()
     try:
         kinds = [r["types"] for r in files.select("types").distinct().collect()]
         if len(kinds) == 1:

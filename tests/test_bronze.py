@@ -1,4 +1,7 @@
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -168,3 +171,20 @@ def test_watermark_needs_a_snapshot_with_rows(spark, tmp_path):
     put(tmp_path, FULL.format("2026-09-01"), [])
     with pytest.raises(ValueError):
         bronze.watermark_from_snapshot(spark, str(tmp_path))
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Workers of this session start elsewhere and cannot import the package."""
+    put(tmp_path, FULL.format("2026-09-01"), [1, 2])
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, {repo!r})
+from clicklake.sources.bronze import read_bronze
+print("rows", read_bronze(spark, {str(tmp_path)!r}).count())
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=180)
+    assert "rows 2" in done.stdout, done.stderr[-2000:]

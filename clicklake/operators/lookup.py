@@ -36,10 +36,12 @@ def lookup(
     value: str,
     row_id: str,
     broadcast_bytes: int | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` with ``members`` (unique on ``key``), adding ``value``.
 
-    Members within the broadcast limit need no care: Catalyst sends them to every task. Beyond it
+    Members within the broadcast limit are sent to every task. ``sized_by`` is the table they come
+    from, one member per row, for members whose own estimate a join has inflated. Beyond the limit
     the rows are shuffled on ``key``, and two kinds of rows would gather in one task:
 
     * rows of a hot key. Those few members (bounded by ``hot_keys``) are broadcast first, which
@@ -49,8 +51,8 @@ def lookup(
     """
     members = members.select(key, value)
     limit = broadcast_limit(rows.sparkSession) if broadcast_bytes is None else broadcast_bytes
-    if plan_bytes(members) <= limit:
-        return rows.join(members, key, "left")
+    if plan_bytes(members if sized_by is None else sized_by) <= limit:
+        return rows.join(F.broadcast(members), key, "left")
 
     columns = rows.columns
     hot = hot_keys(rows.select(key), key)

@@ -40,7 +40,8 @@ def _member(rows: DataFrame, pool: DataFrame, draw: Column, column: str, out: st
     """Give each row ``column`` of one member of ``pool`` (unique on ``id``) by its evenly spread draw."""
     size = pool.agg(F.count(F.lit(1))).scalar()
     members = number_rows(pool.select("id", F.col(column).alias(out)), "id", "_pick")
-    return lookup(rows.withColumn("_pick", draw % size + 1), members, "_pick", out, "g").drop("_pick")
+    rows = rows.withColumn("_pick", draw % size + 1)
+    return lookup(rows, members, "_pick", out, "g", sized_by=pool.select(*dict.fromkeys(["id", column]))).drop("_pick")
 
 
 def source_clicks(

@@ -909,9 +909,10 @@ def _numbered(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
     f"""SELECT 900000000 + g AS id, u.short_code, {_GEN_SQL} AS occurred_at,
           ['mobile', 'desktop', 'tablet', 'unknown'][g % 4 + 1] AS device_type, md5(concat('synthetic-ip-', g)) AS hashed_ip,
           CASE WHEN g % 5 <> 0 THEN p.id END AS user_id
-        FROM (SELECT event_id AS g FROM events)
-        JOIN {_picked('src_urls', 'id')} u ON u.pick = {_pick(42, 'src_urls')}
-        JOIN {_picked('src_users', 'id')} p ON p.pick = {_pick(43, 'src_users')}""",
+        FROM (SELECT g, {_pick(42, 'src_urls')} AS url_pick, {_pick(43, 'src_users')} AS user_pick
+          FROM (SELECT event_id AS g FROM events))
+        JOIN {_picked('src_urls', 'id')} u ON u.pick = url_pick
+        JOIN {_picked('src_users', 'id')} p ON p.pick = user_pick""",
     ["src_urls", "src_users"],
 )
 def gen_clicks_source(spark, sf):
@@ -996,8 +997,9 @@ def _seed_clicks_sql(source: str, seed: int, minutes: int, first: str) -> str:
           {_GEN_SQL} - to_minutes({scatter_sql('g', seed + 2)} % {minutes + 1}) AS occurred_at,
           {_DEVICE_SQL.format(d=scatter_sql('g', seed + 3))} AS device_type, sha256(concat('{seed}-', g)) AS hashed_ip,
           CASE WHEN {scatter_sql('g', seed + 4)} % 100 < 30 THEN p.id END AS user_id
-        FROM {source} JOIN {_picked('seed_urls', 'id')} u ON u.pick = {_pick(seed, 'seed_urls')}
-        JOIN {_picked('seed_users', 'id')} p ON p.pick = {_pick(seed + 1, 'seed_users')}"""
+        FROM (SELECT g, {_pick(seed, 'seed_urls')} AS url_pick, {_pick(seed + 1, 'seed_users')} AS user_pick FROM {source})
+        JOIN {_picked('seed_urls', 'id')} u ON u.pick = url_pick
+        JOIN {_picked('seed_users', 'id')} p ON p.pick = user_pick"""
 
 
 def _seeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import clicklake
 from clicklake.session import scratch_path
 
 # White space is the blank and the characters 9 to 13; a word is a run of anything else.
@@ -37,3 +42,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hands this package to the Python workers, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(clicklake.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="clicklake-code-"), "clicklake.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for module in sorted(root.rglob("*.py")):
+            packed.write(module, Path(root.name, module.relative_to(root)))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)

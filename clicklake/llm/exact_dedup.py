@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import ascii_lower, stored
+from clicklake.llm.common import ascii_lower, ship, stored
 
 _OUT = pa.schema([
     ("doc_id", pa.int64()), ("head", pa.bool_()), ("text_sha256", pa.string()), ("part", pa.int32()),
@@ -70,6 +70,7 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     Exactly one row of a group stays, also where rows repeat with their id. An empty table gives no rows;
     further columns are not looked at.
     """
+    ship(docs.sparkSession)
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.cast("binary").alias("body"))
     order = F.col("doc_id").desc_nulls_last() if keep == "largest" else F.col("doc_id").asc_nulls_last()
@@ -95,3 +96,15 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
         (F.col("head") & F.coalesce(F.col("part") == F.col("first_part"), F.lit(True))).alias("kept"),
         "text_sha256",
     )
+
+
+def kept_documents(docs: DataFrame, keep: str = "smallest") -> DataFrame:
+    """The documents that stay, one of each group of equal texts, with their own columns."""
+    kept = exact_dedup(docs, keep).where("kept")
+    # Ids as text, so that null ids meet; rows that repeat with id and text leave one.
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    chosen = kept.select(name.alias("_name"), F.col("text_sha256").alias("_digest"))
+    digest = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
+    own = docs.withColumns({"_name": name, "_digest": digest})
+    found = own.join(chosen, ["_name", "_digest"], "left_semi")
+    return found.dropDuplicates(["_name", "_digest"]).select(*docs.columns)

@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm import chat_format, exact_dedup, line_dedup, mixing, quality_rules, sql
+from clicklake.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, packing, quality_model, quality_rules, sql
 from clicklake.llm.common import documents
 
 
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.scored(docs, quality_model.learn(docs, labels))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.line_dedup(documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
@@ -20,11 +25,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.learn(docs))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame(
@@ -39,7 +53,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_line_dedup, op4_exact_dedup, op6_mixing, op8_chat_format, op9_quality_rules]
+    found = [
+        op1_quality_model, op3_line_dedup, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id, op8_chat_format,
+        op9_quality_rules,
+    ]
     return {f.__name__: f for f in found}
 
 

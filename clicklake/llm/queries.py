@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, packing, quality_model, quality_rules, sql
+from clicklake.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, sql, token_counts
 from clicklake.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored(docs, quality_model.learn(docs, labels))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(documents(spark, sf_dir), shingle_words=2).drop("text_hash")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.line_dedup(documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("clean_text", 256).alias("clean_sha256"))
@@ -52,10 +56,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.cascade(documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_quality_model, op3_line_dedup, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id, op8_chat_format,
-        op9_quality_rules,
+        op1_quality_model, op2_near_dedup, op3_line_dedup, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id,
+        op8_chat_format, op9_quality_rules, op10_token_counts,
     ]
     return {f.__name__: f for f in found}
 

@@ -1,0 +1,173 @@
+"""Models against brute force and held-out rows; rules, chat windows and the pipeline."""
+
+import functools
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from clicklake.llm import chat_format, language_id, near_dedup, quality_model, quality_rules
+from clicklake.llm.common import documents, held_out
+
+
+def tree_bits(text, counts, lang, kept):
+    """Code length of one text, byte by byte, down the contexts of one language."""
+
+    @functools.cache
+    def p(context, byte):
+        if context is None:
+            return 1 / 256
+        shorter = context[1:] if context else None
+        if context and (len(context), int.from_bytes(context)) not in kept:
+            return p(shorter, byte)
+        seen = {}
+        for gram, n in zip(*counts[lang], strict=True):
+            raw = int(gram).to_bytes(4)
+            if raw[3 - len(context) : 3] == context:
+                seen[raw[3]] = seen.get(raw[3], 0) + n
+        if not seen:
+            return p(shorter, byte)
+        total, q = sum(seen.values()), len(seen)
+        if byte in seen:
+            return seen[byte] / (total + q)
+        return q / (total + q) * p(shorter, byte) / sum(p(shorter, b) for b in range(256) if b not in seen)
+
+    data = b"\n\n\n" + text
+    return sum(-math.log2(p(data[k - 3 : k], data[k])) for k in range(3, len(data)))
+
+
+def test_code_lengths_equal_the_tree():
+    counts = {}
+    for lang, text in (("aa", b"abab abc abab\n" * 4), ("bb", b"xyab xyx " * 6)):
+        grams, n = np.unique(language_id._grams(np.frombuffer(b"\n\n\n" + text, np.uint8)), return_counts=True)
+        counts[lang] = (grams.astype(np.int64), n)
+    model = language_id.build(counts, least=4)
+    kept = set(zip(model.orders.tolist(), model.contexts.tolist(), strict=True))
+    texts = [b"abab", b"xyz", b"", b"q"]
+    got = language_id.code_lengths(texts, model, model.index())
+    want = [[tree_bits(t, counts, lang, kept) for lang in ("aa", "bb")] for t in texts]
+    assert np.allclose(got, want, rtol=1e-5)
+    assert np.allclose(np.exp2(-model.bits.astype(float)).sum(1), 1, atol=1e-4)  # every context is a distribution
+    long = b"abab xy" * 400_000
+    assert np.allclose(language_id.code_lengths([b"x", long, b"ab"], model, model.index())[1], language_id.code_lengths([long], model, model.index()))
+
+
+def test_languages_of_held_out_documents(spark, sf):
+    docs = documents(spark, sf)
+    found = language_id.identify(docs, language_id.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found) > 0
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_edges(make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    got = {r.doc_id: r for r in language_id.identify(docs, language_id.learn(docs)).collect()}
+    assert {got[k].lang_pred for k in (3, 4, 5, 10)} == {"und"} and got[8].lang_pred in {"en", "de", "fr"}
+    assert got[None].held_out
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language_id.identify(none, language_id.learn(none)).collect()} == {"und"}
+    empty = make_docs([])
+    assert language_id.identify(empty, language_id.learn(empty)).count() == 0
+
+
+def test_quality_on_held_out_documents(spark, sf):
+    docs, labels = documents(spark, sf.replace("sf0.001", "sf0.01")), spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/labels.parquet")
+    model = quality_model.learn(docs, labels)
+    rows = quality_model.scored(docs, model).join(labels, "doc_id").where("held_out").collect()
+    good, bad = [r.score for r in rows if r.quality == 1], [r.score for r in rows if r.quality == 0]
+    wins = sum((g > b) + (g == b) / 2 for g in good for b in bad)
+    assert wins >= 0.95 * len(good) * len(bad)
+    assert sum(r.predicted for r in rows if r.quality == 1) >= 0.95 * len(good)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+
+
+def test_quality_edges(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 12)] + [(None, 1, 0), (2, None, 1), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    model = quality_model.learn(docs, labels)
+    assert quality_model.scored(docs, model).count() == len(odd_rows)
+    assert quality_model.accepted(docs, model).columns == docs.columns
+    assert quality_model.learn(docs, labels.limit(0)) is None and quality_model.accepted(docs, None).count() == len(odd_rows)
+    assert quality_model.scored(make_docs([]), model).count() == 0
+
+
+def test_learning_never_sees_the_held_out_fifth(spark, make_docs):
+    rows = [(k, f"word{k} common text here", "en", "s") for k in range(200)]
+    docs = make_docs(rows)
+    held = {r.doc_id for r in docs.where(held_out(F.col("doc_id"))).collect()}
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(200)], "doc_id long, quality int, toxic int")
+    changed = docs.withColumn("text", F.when(held_out(F.col("doc_id")), F.lit("other words entirely")).otherwise(F.col("text")))
+    a, b = quality_model.learn(docs, labels), quality_model.learn(changed, labels)
+    assert held and np.array_equal(a.vectors, b.vectors) and np.array_equal(a.weights[0], b.weights[0])
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(0)
+    z = rng.normal(0, 2, 20_000)
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-z))).astype(float)
+    assert quality_model.fit_temperature(3 * z, y) == pytest.approx(3, rel=0.1)
+
+
+def test_cascade_order_does_not_change_the_verdict(make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    stats = quality_rules.with_stats(docs)
+    rules = quality_rules.further_rules()
+    a = stats.select("doc_id", quality_rules.verdict(rules).isNull().alias("k")).collect()
+    b = stats.select("doc_id", quality_rules.verdict(rules[::-1]).isNull().alias("k")).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    assert quality_rules.cascade(make_docs([])).count() == 0
+    plan = quality_rules.cascade(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_cascade_puts_rejections_per_cost_first(spark):
+    rows = spark.range(5000).select(F.col("id"))
+    cheap, useless = quality_rules.Rule("cheap", F.col("id") % 2 == 0), quality_rules.Rule("useless", F.col("id") < 0)
+    assert quality_rules.measured_order(rows, [useless, cheap])[0].name == "cheap"
+
+
+def test_escape_is_reversible(spark):
+    parts = ["<", "[", "\\", "s>", "/s>", "<s>", "|>", "INST]", "/INST]", "<SYS>>", "</SYS>>", "x", "[INST]", "<|>"]
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 7))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("e", chat_format.escape(F.col("t")))
+    rows = df.withColumn("b", chat_format.unescape(F.col("e"))).collect()
+    assert all(r.t == r.b for r in rows)
+    marks = ("<s>", "</s>", "<|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
+    assert not any(m in r.e for r in rows for m in marks)
+
+
+def test_windows_cover_turns_once_within_budget(spark):
+    turns = [(1, 0, "system", "rules " * 20)] + [(1, k, "user" if k % 2 else "assistant", f"t{k} " * 30) for k in range(1, 60)]
+    out = chat_format.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), budget=200, history=64)
+    rows = out.withColumn("turns", chat_format.read_turns(F.col("formatted"))).orderBy("window").collect()
+    assert len(rows) > 10
+    own = [t for r in rows for t in r.turns[r.n_repeated :]]
+    assert [(t.role, t.text) for t in own] == [(r, t) for _, _, r, t in turns]
+    assert all(r.turns[0].role == "system" for r in rows) and any(r.n_repeated > 1 for r in rows)
+    masked = "".join(r.formatted[s.start : s.start + s.length] for r in rows for s in r.loss_spans)
+    assert masked == "".join(t for _, _, role, t in turns if role == "assistant")
+    with pytest.raises(ValueError):
+        chat_format.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), 10, 10)
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat_format.digests(chat_format.windows(empty)).count() == 0
+
+
+def test_pipeline_stages(spark, sf):
+    docs = documents(spark, sf)
+    names = docs.columns
+    ids = {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, sf)
+        assert docs.columns == names, name
+        docs = docs.cache()
+        assert 0 < docs.count() and {r.doc_id for r in docs.select("doc_id").collect()} <= ids
+        if name == "near dedup":
+            again = near_dedup.near_groups(docs)
+            assert again.where("NOT kept").count() == 0 and before.count() >= docs.count()
+        if name == "exact dedup":
+            assert docs.select(F.lower("text")).distinct().count() == docs.count()
+    out = corpus_pipeline.run(spark, sf)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0

@@ -8,39 +8,41 @@ DIGEST = "a" * 64
 TIME = at("2026-09-01T10:00:00")
 
 
-def dirty(spark):
-    return spark.createDataFrame(
-        [
-            (1, "abc", TIME, "mobile", DIGEST, 7.0),
-            (2, "  def ", TIME, " DeskTop ", "not-a-digest", None),
-            (3, "ghi", TIME, "smart-tv", None, None),
-            (None, "jkl", TIME, "mobile", None, None),
-            (5, "mno", None, "mobile", None, None),
-            (6, "", TIME, "mobile", None, None),
-            (7, "   ", TIME, "mobile", None, None),
-        ],
-        BRONZE_CLICK,
-    )
+def mixed(spark):
+    """Every pair of a usable and an unusable value of the three required columns, ids from 100 up."""
+    codes = ["ok", "\ttab kept", "c" * 4000, None, "\u00a0", "    "]
+    times = [TIME, at("1969-12-31T23:59:59"), None]
+    rows = [
+        (100 + 10 * i + j, code, time, ("TABLET ", " mobile", "fridge")[j], (DIGEST, "A" * 64, "a" * 63)[j], (None, 12.0, 1e9)[j])
+        for i, code in enumerate(codes)
+        for j, time in enumerate(times)
+    ]
+    return spark.createDataFrame([*rows, (None, "ok", TIME, "mobile", DIGEST, 3.0)], BRONZE_CLICK)
 
 
 def by_id(df):
     return {r["click_id"]: r for r in df.collect()}
 
 
-def test_only_usable_rows_survive(spark):
-    assert sorted(by_id(silver.clean_clicks(dirty(spark)))) == [1, 2, 3]
+def test_rows_without_id_time_or_code_are_dropped(spark):
+    # Code 3 is null, 5 is blank; time 2 is null. A no-break space and a tab are text.
+    want = [100 + 10 * i + j for i in (0, 1, 2, 4) for j in (0, 1)]
+    assert sorted(by_id(silver.clean_clicks(mixed(spark)))) == want
 
 
 def test_text_and_types_are_normalised(spark):
-    rows = by_id(silver.clean_clicks(dirty(spark)))
-    assert (rows[2]["short_code"], rows[2]["device_type"]) == ("def", "desktop")
-    assert rows[3]["device_type"] == "unknown"
-    assert (rows[1]["hashed_ip"], rows[2]["hashed_ip"]) == (DIGEST, None)
-    assert (rows[1]["user_id"], rows[2]["user_id"]) == (7, None)
+    rows = by_id(silver.clean_clicks(mixed(spark)))
+    assert [rows[100]["device_type"], rows[101]["device_type"]] == ["tablet", "mobile"]
+    assert (rows[100]["hashed_ip"], rows[101]["hashed_ip"]) == (DIGEST, None)
+    assert (rows[100]["user_id"], rows[101]["user_id"]) == (None, 12)
+    assert rows[110]["short_code"].strip() == "tab kept" and len(rows[120]["short_code"]) == 4000
+    odd = spark.createDataFrame([(1, "a", TIME, "fridge", "a" * 63, 1e9)], BRONZE_CLICK)
+    row = silver.clean_clicks(odd).first()
+    assert (row["device_type"], row["hashed_ip"], row["user_id"]) == ("unknown", None, 10**9)
 
 
 def test_output_columns_and_types_are_fixed(spark):
-    extra = dirty(spark).withColumn("watermark_start", F.lit(1))
+    extra = mixed(spark).withColumn("watermark_start", F.lit(1))
     out = silver.clean_clicks(extra)
     assert out.columns == SILVER_CLICKS.names
     assert [f.dataType for f in out.schema] == [f.dataType for f in SILVER_CLICKS]
@@ -73,13 +75,13 @@ def test_tabs_are_not_trimmed(spark):
 
 
 def test_every_rejected_row_has_its_reason(spark):
-    reasons = [r["reason"] for r in silver.rejected_clicks(dirty(spark)).collect()]
-    assert sorted(reasons) == ["missing_code", "missing_code", "missing_id", "missing_time"]
+    reasons = [r["reason"] for r in silver.rejected_clicks(mixed(spark)).collect()]
+    assert sorted(reasons) == ["missing_code"] * 4 + ["missing_id"] + ["missing_time"] * 6
 
 
 def test_rejects_and_clean_rows_add_up(spark):
     none_code = spark.createDataFrame([(8, None, TIME, "mobile", None, None)], BRONZE_CLICK)
-    rows = dirty(spark).unionByName(none_code)
+    rows = mixed(spark).unionByName(none_code)
     assert silver.clean_clicks(rows).count() + silver.rejected_clicks(rows).count() == rows.count()
 
 
@@ -109,11 +111,11 @@ def test_dedup_is_one_shuffle_and_merges_before_it(spark, sf):
 
 
 def test_stats(spark):
-    rows = dirty(spark).unionByName(dirty(spark))
+    rows = mixed(spark).unionByName(mixed(spark))
     assert silver.silver_stats(rows).first().asDict() == {
-        "bronze_rows": 14, "invalid_rows_dropped": 8, "duplicate_rows_removed": 3, "silver_rows": 3,
+        "bronze_rows": 38, "invalid_rows_dropped": 22, "duplicate_rows_removed": 8, "silver_rows": 8,
     }
-    empty = silver.silver_stats(dirty(spark).limit(0)).first().asDict()
+    empty = silver.silver_stats(mixed(spark).limit(0)).first().asDict()
     assert set(empty.values()) == {0}
 
 

@@ -33,7 +33,7 @@ def stale_report(ledger: Ledger, now: datetime, max_runtime_minutes: int = 60) -
 def reconcile_report(spark: SparkSession, lake: str, ledger: Ledger, pipeline: str, table: str | None = None) -> Report:
     """Drift between ledger and storage. The storage side covers all of Bronze, or one table of it."""
     folder = f"{lake}/bronze" + (f"/{table}" if table else "")
-    stored, recorded = stored_keys(list_files(spark, folder)), lg.success_keys(ledger.runs(), pipeline)
+    stored, recorded = stored_keys(list_files(spark, folder), lake=lake), lg.success_keys(ledger.runs(), pipeline)
     orphans = storage.orphaned_objects(stored, recorded).selectExpr("'orphaned' AS kind", "bronze_key")
     missing = storage.missing_objects(stored, recorded).selectExpr("'missing' AS kind", "bronze_key")
     drift = orphans.unionByName(missing)
@@ -41,7 +41,7 @@ def reconcile_report(spark: SparkSession, lake: str, ledger: Ledger, pipeline: s
 
 
 def storage_report(spark: SparkSession, lake: str, prefix: str = "bronze/") -> Report:
-    return storage.storage_stats(bronze_objects(list_files(spark, f"{lake}/bronze")), prefix), True
+    return storage.storage_stats(bronze_objects(list_files(spark, f"{lake}/bronze"), lake=lake), prefix), True
 
 
 def layout_of_table(spark: SparkSession, lake: str, table: str, small_file_bytes: int = SMALL_FILE_BYTES) -> Report:

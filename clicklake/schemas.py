@@ -171,5 +171,31 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def fitted(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All columns of ``df``, those of ``schema`` in its types and first; a value that does not fit ends the job.
+
+    Text that is no number, numbers out of range and fractions in a whole-number column do not fit. A
+    declared column that the input lacks comes out as NULL.
+    """
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    broken = (T.FloatType, T.DoubleType, T.DecimalType)
+
+    def column(field: T.StructField):
+        if field.name not in df.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        have, value = df.schema[field.name].dataType, F.col(field.name)
+        if have == field.dataType:
+            return value
+        cast = value.try_cast(field.dataType)
+        wrong = value.isNotNull() & cast.isNull()
+        if isinstance(field.dataType, whole) and isinstance(have, broken):
+            wrong = wrong | (value != cast)
+        said = F.concat(F.lit(f"column {field.name} takes no "), value.cast("string"))
+        return F.when(wrong, F.raise_error(said).cast(field.dataType)).otherwise(cast).alias(field.name)
+
+    declared = set(schema.names)
+    return df.select(*map(column, schema), *[c for c in df.columns if c not in declared])
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -19,6 +19,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders of local sessions without the setting, which is left as it is.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that all executors reach, from ``spark.checkpoint.dir``.
 
@@ -29,11 +33,16 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="clicklake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="clicklake-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and safe when executors go."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

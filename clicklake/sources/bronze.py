@@ -2,126 +2,139 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicklake.schemas import SOURCE_TABLES, conform, empty
+from clicklake.session import configure
 from clicklake.sources.listing import has_files, list_files, partition_values
 
-_SPARK_NAMES = {
-    "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float", "double": "double",
-    "string": "string", "large_string": "string", "bool": "boolean", "date32[day]": "date", "null": "int",
-}
-
-
 def bronze_files(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Path and size of every Bronze file of a table, both layouts, sorted by path."""
     return list_files(spark, f"{root}/{table}").select("path", "length").orderBy("path")
 
 
-def _footer_reader() -> Callable[[Iterator], Iterator]:
-    """A function for tasks that reads the column types of each file from its footer.
+def _all_below(spark: SparkSession, schema: T.StructType | str) -> DataFrameReader:
+    reader = spark.read.schema(schema)
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+
 
-    It is an inner function with its own imports, so it travels to executors by value and they
-    need no copy of this package.
-    """
+def _nano_session(spark: SparkSession) -> SparkSession:
+    """A session of its own, in which nanosecond times, that Spark has no type for, read as numbers."""
+    child = configure(spark.newSession())
+    child.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return child
 
-    def footer_types(batches):
-        import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        for batch in batches:
-            found = []
-            for path in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-                footer = pq.read_metadata(inner, filesystem=system)
-                leaves = (footer.schema.column(i) for i in range(footer.num_columns))
-                physical = {leaf.name: leaf.physical_type for leaf in leaves}
-                # INT96 shows up as nanoseconds although Spark reads it as a plain timestamp.
-                types = {
-                    f.name: "timestamp[96]" if physical.get(f.name) == "INT96" else str(f.type)
-                    for f in footer.schema.to_arrow_schema()
-                }
-                found.append("|".join(f"{name}={kind}" for name, kind in types.items()))
-            yield pd.DataFrame({"path": batch["path"], "types": found})
-
-    return footer_types
-
-
-def _read_type(arrow_type: str) -> str | None:
-    """Spark type that reads an Arrow type as it lies in the file; nanoseconds come as a number."""
-    if arrow_type.startswith("timestamp[ns"):
-        return "nanos"
-    if arrow_type.startswith("timestamp"):
-        return "timestamp"
-    if arrow_type.startswith("decimal"):
-        return arrow_type.replace("decimal128", "decimal")
-    return _SPARK_NAMES.get(arrow_type)
 
+def _reader(spark: SparkSession, base: str | None) -> DataFrameReader:
+    """Reader of a partitioned table below ``base``, or of plain files in any layout."""
+    reader = spark.read.option("mergeSchema", "true").option("pathGlobFilter", "*.parquet")
+    return reader.option("basePath", base) if base else reader.option("recursiveFileLookup", "true")
 
-def _all_below(spark: SparkSession, schema: T.StructType | str) -> DataFrameReader:
-    reader = spark.read.schema(schema)
-    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
 
+def _scan(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType) -> DataFrame:
+    """Scan of folders whose files have the same physical types, in the declared types of the table.
 
-def _read_group(spark: SparkSession, paths: list[str], types: str, schema: T.StructType) -> DataFrame:
-    have = dict(pair.split("=", 1) for pair in types.split("|") if pair)
-    fields, columns = [], []
-    for field in schema:
-        kind = _read_type(have[field.name]) if field.name in have else None
-        if kind is None:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-        elif kind == "nanos":
-            # Spark has no nanosecond type; with this setting the column reads as a number.
-            spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-            fields.append(f"`{field.name}` bigint")
-            micros = F.timestamp_micros(F.expr(f"`{field.name}` div 1000"))
-            columns.append(micros.try_cast(field.dataType).alias(field.name))
-        else:
-            fields.append(f"`{field.name}` {kind}")
-            columns.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
-    return _all_below(spark, ", ".join(fields)).parquet(*paths).select(*columns)
+    Spark reads the footers in a distributed job. A plain read refuses nanosecond columns, so whatever it
+    accepts has none; else times that come as whole numbers are nanoseconds. A type that cannot be read, or
+    can never become the declared one, ends the read with the folder and column.
+    """
+    try:
+        rows, nanos = _reader(spark, base).parquet(*folders), False
+    except AnalysisException as err:
+        if "NANOS" not in str(err):
+            raise
+        rows, nanos = _reader(_nano_session(spark), base).parquet(*folders), True
+
+    def column(field: T.StructField):
+        if field.name not in rows.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        have, value = rows.schema[field.name].dataType, F.col(field.name)
+        if have == field.dataType:
+            return value
+        if isinstance(have, T.BinaryType) and not isinstance(field.dataType, T.BinaryType):
+            value = value.cast("string")
+        elif isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+            raise TypeError(f"column {field.name} of {folders[0]} is a {have.simpleString()}, not a {field.dataType.simpleString()}")
+        elif isinstance(field.dataType, T.TimestampType) and isinstance(have, T.LongType):
+            if not nanos:
+                raise TypeError(f"column {field.name} of {folders[0]} holds numbers, not times")
+            value = F.timestamp_micros(F.expr(f"`{field.name}` div 1000"))
+        return value.try_cast(field.dataType).alias(field.name)
+
+    return rows.select(*map(column, schema))
+
+
+def _leaf_folders(spark: SparkSession, root: str) -> list[str]:
+    """Folders below ``root`` that hold files: one per load, not per file. Files beside folders go by a pattern."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")
+    found = [r["folder"] for r in list_files(spark, root).select(folder).distinct().orderBy("folder").collect()]
+    above = {a for a, b in zip(found, found[1:], strict=False) if b.startswith(f"{a}/")}
+    return [f"{x}/*.parquet" if x in above else x for x in found]
+
+
+def _read_kinds(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType) -> DataFrame:
+    """One scan for each kind of physical types among the folders."""
+    kinds: dict[str, list[str]] = {}
+    for folder in folders:
+        try:
+            kind = _reader(spark, base).parquet(folder).schema.json()
+        except AnalysisException:
+            kind = "nanos " + _reader(_nano_session(spark), base).parquet(folder).schema.json()
+        kinds.setdefault(kind, []).append(folder)
+    return reduce(DataFrame.unionByName, [_scan(spark, base, paths, schema) for _, paths in sorted(kinds.items())])
+
+
+def _disagree(err: Exception) -> bool:
+    """Whether a read failed because files hold a column in different types, or some in nanoseconds."""
+    return "MERGE" in str(err) or "NANOS" in str(err) or "merge" in str(err)
 
 
 def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files: bool = False) -> DataFrame:
     """All Bronze rows of a table, repeats included, in its declared types.
 
-    The two layouts cannot be read as one partitioned table, so partition discovery is off and no
-    partition column appears. Files from other writers may hold a column in another physical type,
-    which no single scan accepts; their footers are read in tasks and the files are scanned in one
-    group per combination of types. ``own_files=True`` skips that for a lake written only by this
-    library, whose files all have the declared types.
+    The two layouts cannot be read as one partitioned table, so each folder of a load is its own root and no
+    partition column appears. Files from other writers may hold a column in another physical type, which
+    no single scan accepts; folders are then scanned in one group per combination of types.
+    ``own_files=True`` skips the look at the footers for a lake written only by this library, whose files
+    all have the declared types.
     """
     schema, folder = SOURCE_TABLES[table], f"{root}/{table}"
     if not has_files(spark, folder):
         raise FileNotFoundError(f"no Bronze files of {table} under {root}")
     if own_files:
         return conform(_all_below(spark, schema).parquet(folder), schema)
+    try:
+        return _scan(spark, None, [folder], schema)
+    except Exception as err:
+        if not _disagree(err):
+            raise
+        return _read_kinds(spark, None, _leaf_folders(spark, folder), schema)
 
-    files = list_files(spark, folder).select("path").mapInPandas(_footer_reader(), "path string, types string").persist()
+
+def _snapshot(spark: SparkSession, root: str, table: str, days: list[str]) -> DataFrame:
+    """Snapshots of some days in the declared types, with their ``ingestion_date``."""
+    base = f"{root}/{table}"
+    schema = T.StructType([*SOURCE_TABLES[table], T.StructField("ingestion_date", T.DateType())])
+    folders = [f"{base}/ingestion_date={day}" for day in days]
     try:
-        kinds = [r["types"] for r in files.select("types").distinct().collect()]
-        if len(kinds) == 1:
-            return _read_group(spark, [folder], kinds[0], schema)
-        # A scan of some files of a folder needs their names, which Spark keeps on the driver anyway.
-        parts = []
-        for types in sorted(kinds):
-            paths = files.where(F.col("types") == types).select("path").orderBy("path").toLocalIterator()
-            parts.append(_read_group(spark, [r["path"] for r in paths], types, schema))
-        return reduce(DataFrame.unionByName, parts)
-    finally:
-        files.unpersist()
+        return _scan(spark, base, folders, schema)
+    except Exception as err:
+        if not _disagree(err):
+            raise
+        return _read_kinds(spark, base, folders, schema)
 
 
 def read_snapshots(spark: SparkSession, root: str, table: str = "clicks") -> DataFrame:
     """Full snapshots only, with their ``ingestion_date``."""
-    base = f"{root}/{table}"
-    return spark.read.option("basePath", base).parquet(f"{base}/ingestion_date=*")
+    days = partition_values(spark, f"{root}/{table}", "ingestion_date")
+    if not days:
+        raise FileNotFoundError(f"no full snapshot of {table} under {root}")
+    return _snapshot(spark, root, table, days)
 
 
 def read_date_range(spark: SparkSession, root: str, table: str, start: str, end: str) -> DataFrame:
@@ -129,11 +142,10 @@ def read_date_range(spark: SparkSession, root: str, table: str, start: str, end:
 
     Only the directories of those days are listed. No snapshot in the range gives an empty frame.
     """
-    base = f"{root}/{table}"
-    days = [day for day in partition_values(spark, base, "ingestion_date") if start <= day <= end]
+    days = [day for day in partition_values(spark, f"{root}/{table}", "ingestion_date") if start <= day <= end]
     if not days:
         return empty(spark, SOURCE_TABLES[table]).withColumn("ingestion_date", F.lit(None).cast("date"))
-    rows = spark.read.option("basePath", base).parquet(*[f"{base}/ingestion_date={day}" for day in days])
+    rows = _snapshot(spark, root, table, days)
     return rows.where(F.col("ingestion_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
@@ -148,7 +160,7 @@ def latest_snapshot_day(spark: SparkSession, root: str, table: str = "clicks") -
 def watermark_from_snapshot(spark: SparkSession, root: str, table: str = "clicks") -> int:
     """Largest id in the newest full snapshot. One column of one directory is read."""
     day = latest_snapshot_day(spark, root, table)
-    top = spark.read.parquet(f"{root}/{table}/ingestion_date={day}").agg(F.max("id")).first()[0]
+    top = _snapshot(spark, root, table, [day]).agg(F.max("id")).first()[0]
     if top is None:
         raise ValueError(f"the snapshot of {table} of {day} has no rows")
     return int(top)

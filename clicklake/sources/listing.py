@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,32 +52,40 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
     """
     if not exists(spark, folder):
         return spark.createDataFrame([], _LISTING)
+    # A session of its own carries the setting, so that nothing that runs beside it is packed alike.
+    child = spark.newSession()
+    child.conf.set(_PACKING, str(2**60))
     files = (
-        spark.read.format("binaryFile")
+        child.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
         .select("path", "modificationTime", "length")
     )
-    packing, frozen = spark.conf.get(_PACKING), scratch_path(spark, "listing")
-    spark.conf.set(_PACKING, str(2**60))
-    try:
-        files.write.parquet(frozen)
-    finally:
-        spark.conf.set(_PACKING, packing)
+    frozen = scratch_path(spark, "listing")
+    files.write.parquet(frozen)
     return spark.read.schema(_LISTING).parquet(frozen)
 
 
-def relative_key(path: Column, marker: str = "bronze") -> Column:
-    """Partition directory of a file, from ``marker`` on: ``bronze/clicks/ingestion_date=...``."""
-    return F.regexp_extract(path, f"(?:^|/)({marker}/.*)/[^/]+$", 1)
+def in_lake(path: Column, lake: str | None, marker: str = "bronze") -> Column:
+    """Path below the lake. Without the lake's own path, from the first ``marker`` directory on."""
+    if lake is None:
+        return F.regexp_extract(path, f"(?:^|/)({marker}/.*)$", 1)
+    # The listing spells paths with their scheme; the lake may come without.
+    root = re.sub(r"^[a-z0-9]+:/*", "/", lake.rstrip("/"))
+    return F.expr(f"substr({{p}}, instr({{p}}, {_quoted(root + '/')}) + {len(root) + 1})".format(p="path"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def stored_keys(files: DataFrame, marker: str = "bronze") -> DataFrame:
-    """Distinct partition directories that hold files."""
-    return files.select(relative_key(F.col("path"), marker).alias("bronze_key")).distinct()
+def stored_keys(files: DataFrame, marker: str = "bronze", lake: str | None = None) -> DataFrame:
+    """Distinct partition directories that hold files: ``bronze/clicks/ingestion_date=...``."""
+    key = F.regexp_extract(in_lake(F.col("path"), lake, marker), "^(.*)/[^/]+$", 1)
+    return files.select(key.alias("bronze_key")).distinct()
 
 
-def bronze_objects(files: DataFrame, marker: str = "bronze") -> DataFrame:
+def bronze_objects(files: DataFrame, marker: str = "bronze", lake: str | None = None) -> DataFrame:
     """Listing with paths relative to the lake, the form the storage reports take."""
-    return files.select(F.regexp_extract("path", f"(?:^|/)({marker}/.*)$", 1).alias("path"), "length")
+    return files.select(in_lake(F.col("path"), lake, marker).alias("path"), "length")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.schemas import SOURCE_TABLES, conform
+from clicklake.schemas import SOURCE_TABLES, fitted
 
 # A source gives a lazy DataFrame for a table name.
 Source = Callable[[str], DataFrame]
@@ -69,9 +69,9 @@ def parquet_source(spark: SparkSession, folder: str) -> Source:
 
 
 def full_scan(source: Source, table: str) -> DataFrame:
-    """All rows of a table in its declared types."""
+    """All rows and columns of a table, the declared ones in their types; values that do not fit end the load."""
     df = source(table)
-    return conform(df, SOURCE_TABLES[table]) if table in SOURCE_TABLES else df
+    return fitted(df, SOURCE_TABLES[table]) if table in SOURCE_TABLES else df
 
 
 def incremental_scan(rows: DataFrame, watermark: int, upper: int | None = None) -> DataFrame:

@@ -188,3 +188,42 @@ print("rows", read_bronze(spark, {str(tmp_path)!r}).count())
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=180)
     assert "rows 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_unsigned_dictionary_and_binary_columns_keep_their_values(spark, tmp_path):
+    path = tmp_path / FULL.format("2026-09-01")
+    path.parent.mkdir(parents=True)
+    table = pa.table({
+        "id": pa.array([1, 2], pa.uint32()), "short_code": pa.array([b"c1", b"c2"], pa.binary()),
+        "occurred_at": pa.array([10**15, 10**15 + 7], pa.timestamp("ns")),
+        "device_type": pa.array(["mobile", "desktop"]).dictionary_encode(), "user_id": pa.array([5, None], pa.uint64()),
+    })
+    pq.write_table(table, path)
+    want = [(1, "c1", "mobile", 5), (2, "c2", "desktop", None)]
+    for rows in (bronze.read_bronze(spark, str(tmp_path)), bronze.read_snapshots(spark, str(tmp_path)),
+                 bronze.read_date_range(spark, str(tmp_path), "clicks", "2026-09-01", "2026-09-01")):
+        assert sorted(tuple(r) for r in rows.select("id", "short_code", "device_type", "user_id").collect()) == want
+    assert bronze.watermark_from_snapshot(spark, str(tmp_path)) == 2
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
+
+
+def test_types_that_cannot_be_read_end_the_read(spark, tmp_path):
+    path = tmp_path / FULL.format("2026-09-01")
+    path.parent.mkdir(parents=True)
+    pq.write_table(pa.table({"id": pa.array([[1], [2]])}), path)
+    with pytest.raises(Exception, match="id"):
+        bronze.read_bronze(spark, str(tmp_path)).collect()
+
+
+def test_full_scan_keeps_columns_and_refuses_what_does_not_fit(spark):
+    from clicklake.sources.relational import full_scan
+
+    good = spark.createDataFrame([("1", "a", "x"), ("2", None, "y")], "id string, short_code string, country string")
+    out = full_scan(lambda _: good, "clicks")
+    assert [(r["id"], r["country"]) for r in out.orderBy("id").collect()] == [(1, "x"), (2, "y")]
+    for kind, value in (("string", "x1"), ("double", 1.5), ("decimal(30,0)", 10**25)):
+        from decimal import Decimal
+
+        bad = spark.createDataFrame([(Decimal(value) if kind[:3] == "dec" else value,)], f"id {kind}")
+        with pytest.raises(Exception, match="takes no"):
+            full_scan(lambda _, bad=bad: bad, "clicks").collect()

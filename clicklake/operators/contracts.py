@@ -173,3 +173,8 @@ def contract_summary(declared: DataFrame, findings: DataFrame) -> DataFrame:
         )
         .orderBy("table")
     )
+
+
+def freshness_limits(contracts: list[dict]) -> dict[str, int]:
+    """Minutes each table may be old, from the contracts that state them."""
+    return {c["table"]: int(c["freshness_minutes"]) for c in contracts if "freshness_minutes" in c}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklake.functions.columns import date_key
-from clicklake.operators.lookup import lookup
+from clicklake.operators.lookup import broadcast_limit, hot_keys, lookup, plan_bytes
 from clicklake.schemas import UNKNOWN_USER_KEY
 
 
@@ -34,8 +34,12 @@ def resolve_clicks(
     dates = dim_date.select(F.col("date_key"))
     clicks = clicks.join(F.broadcast(dates), F.col("_day") == F.col("date_key"), "left").drop("_day")
     clicks = clicks.join(F.broadcast(dim_device), "device_type", "left")
-    clicks = lookup(clicks, codes, "short_code", "url_key", "click_id", broadcast_bytes)
-    clicks = lookup(clicks, people, "user_id", "user_key", "click_id", broadcast_bytes)
+    limit = broadcast_limit(silver.sparkSession) if broadcast_bytes is None else broadcast_bytes
+    hot = None
+    if max(plan_bytes(codes), plan_bytes(people)) > limit:
+        hot = hot_keys(silver.select("short_code", "user_id"), ["short_code", "user_id"])
+    clicks = lookup(clicks, codes, "short_code", "url_key", "click_id", limit, hot=hot)
+    clicks = lookup(clicks, people, "user_id", "user_key", "click_id", limit, hot=hot)
     return clicks.select(
         "click_id",
         "date_key",

@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clicklake.operators import dims, facts
-from clicklake.operators.lookup import plan_bytes
 from clicklake.operators.silver import COPIES, clean_clicks, deduplicate_counting, valid_clicks
 from clicklake.schemas import DIM_URL, DIM_USER, FACT_CLICKS, SILVER_CLICKS, STAR_TABLES, empty
-from clicklake.sinks.tables import publish, publish_split
+from clicklake.sinks.tables import publish, publish_split, recover
 from clicklake.sources.bronze import latest_snapshot_day, read_bronze, read_date_range, read_snapshots
 from clicklake.sources.listing import exists
 
-# Size of the Silver clicks from which a directory per day gets files of a useful size.
-PARTITION_BYTES = 256 * 1024**3
+# Parts that one day's clicks are dealt into, so that a day with a third of them is not one task's.
+PARTS_PER_DAY = 16
 
 
 def silver_clicks(bronze: DataFrame) -> DataFrame:
@@ -53,7 +52,16 @@ def explore_job(spark: SparkSession, lake: str) -> int:
 
 
 def read_star(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
-    """All star tables below ``gold``; a table that was not built yet is empty."""
+    """All star tables below ``gold``; a table that was not built yet is empty.
+
+    A table whose replacement died is put back first. A dimension that is gone although clicks were worked in
+    is an error: taken for empty, its members would be numbered anew.
+    """
+    for name in STAR_TABLES:
+        recover(spark, f"{gold}/{name}")
+    lost = [name for name in STAR_TABLES if name.startswith("dim_") and not exists(spark, f"{gold}/{name}")]
+    if lost and exists(spark, f"{gold}/progress"):
+        raise FileNotFoundError(f"{', '.join(lost)} missing under {gold}, which has progress; restore it or delete gold")
     return {
         name: spark.read.schema(schema).parquet(f"{gold}/{name}") if exists(spark, f"{gold}/{name}") else empty(spark, schema)
         for name, schema in STAR_TABLES.items()
@@ -73,7 +81,8 @@ def publish_star(
     old: dict[str, DataFrame] | None = None,
     order: list[str] | None = None,
     broadcast_bytes: int | None = None,
-    partition_bytes: int = PARTITION_BYTES,
+    by_day: bool = True,
+    parts_per_day: int = PARTS_PER_DAY,
 ) -> None:
     """Build the star schema below ``gold``.
 
@@ -81,9 +90,9 @@ def publish_star(
     and computes none of them twice. One pass over the clicks then writes both the fact and
     ``fact_rejects``, the clicks that cannot get a url or date.
 
-    A big fact lies in one directory per day; a small one, for which such directories would hold
-    tiny files, is only sorted by day. The rebalance sizes the output files either way: it splits
-    what is too big for one task, such as a day with a third of all clicks, and merges the rest.
+    The fact lies in one directory per day, or in one for all with ``by_day=False``, which suits a small lake.
+    Its rows are dealt out by day and a hash of the click, so that a day with a third of all clicks is
+    shared by ``parts_per_day`` tasks; the rebalance merges what is small.
     """
     spark = silver.sparkSession
     old = old or {}
@@ -109,8 +118,9 @@ def publish_star(
         "reject_reason",
         F.when(F.col("reject_reason").isNull(), "fact_clicks").otherwise("fact_rejects").alias("_table"),
     )
-    days = ["date_key"] if plan_bytes(silver) >= partition_bytes else []
-    rows = rows.hint("rebalance", "_table", *days).sortWithinPartitions("_table", "date_key")
+    days = ["date_key"] if by_day else []
+    rows = rows.withColumn("_part", F.pmod(F.xxhash64("click_id"), F.lit(parts_per_day)))
+    rows = rows.hint("rebalance", "date_key", "_part").sortWithinPartitions("_table", "date_key").drop("_part")
     publish_split(rows, "_table", {name: f"{gold}/{name}" for name in ("fact_clicks", "fact_rejects")}, days)
 
 
@@ -122,6 +132,8 @@ def gold_job(spark: SparkSession, lake: str, broadcast_bytes: int | None = None)
     """
     gold, bronze = f"{lake}/gold", f"{lake}/bronze"
     done = {}
+    recover(spark, f"{gold}/progress")
+    recover(spark, f"{lake}/silver/clicks")
     if exists(spark, f"{gold}/progress"):
         done = {r["source_table"]: r["last_day"] for r in spark.read.parquet(f"{gold}/progress").collect()}
     newest = {table: latest_snapshot_day(spark, bronze, table) for table in ("urls", "users")}

@@ -8,7 +8,7 @@ every engine hashes them alike, and load times are left out.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +22,8 @@ from clicklake.operators import ledger as lg
 from clicklake.operators.dedup import freshest
 from clicklake.oracle import scatter as scatter_sql
 from clicklake.oracle import with_views
-from clicklake.plans import metrics, refine
-from clicklake.schemas import STAR_KEYS, STAR_LENGTHS
+from clicklake.plans import ingest, metrics, refine
+from clicklake.schemas import SOURCE_TABLES, STAR_KEYS, STAR_LENGTHS, conform
 from clicklake.session import scratch_path
 from clicklake.sinks import formats as sink_formats
 from clicklake.sinks import tables as sinks
@@ -57,6 +57,9 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
 _STARS: dict[tuple[str, str], str] = {}
 
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
 def _gold(spark: SparkSession, sf: str) -> str:
     """Star schema of the given tables, written once per session: the metrics expect stored tables."""
     key = (spark.sparkContext.applicationId, sf)
@@ -72,22 +75,34 @@ def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _lake(spark: SparkSession, sf: str) -> str:
-    """A Bronze layer in the shared folder: three snapshots of growing coverage and one batch."""
+    """A Bronze layer in the shared folder: three snapshots of growing coverage and one batch. Written once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _LAKES:
+        return _LAKES[key]
     lake = scratch_path(spark, "lake")
-    clicks = relational.conform(fx.src_clicks(spark, sf), relational.SOURCE_TABLES["clicks"])
+    clicks = conform(fx.src_clicks(spark, sf), SOURCE_TABLES["clicks"])
     top = clicks.agg(F.max("id")).first()[0]
     for day, tenths in (("2024-01-01", 3), ("2024-01-02", 5), ("2024-01-03", 7)):
         sinks.write_snapshot(clicks.where(F.col("id") * 10 <= top * tenths), lake, "clicks", day)
     start = src_bronze.watermark_from_snapshot(spark, f"{lake}/bronze")
     sinks.write_batch(relational.incremental_scan(clicks, start, top), lake, "clicks", start, top)
+    _LAKES[key] = lake
     return lake
 
 
 # --- Sources -------------------------------------------------------------------------------------
 
-@register("src_full_scan", "SELECT * FROM src_clicks", ["src_clicks"])
+@register(
+    "src_full_scan",
+    """SELECT id, short_code, occurred_at, device_type, hashed_ip, CAST(user_id AS BIGINT) AS user_id,
+         concat('land ', CAST(id % 7 AS VARCHAR)) AS country
+       FROM src_clicks""",
+    ["src_clicks"],
+)
 def src_full_scan(spark, sf):
-    return relational.full_scan(lambda _: fx.src_clicks(spark, sf), "src_clicks")
+    """The production path, over a source with a column that the contract does not declare."""
+    wider = fx.src_clicks(spark, sf).withColumn("country", F.concat(F.lit("land "), (F.col("id") % 7).cast("string")))
+    return naive(relational.full_scan(lambda _: wider, "clicks"), "occurred_at")
 
 
 @register(
@@ -127,6 +142,101 @@ def bronze_mixed_read(spark, sf):
     return naive(src_bronze.read_bronze(spark, f"{_lake(spark, sf)}/bronze"), "occurred_at")
 
 
+@register(
+    "bronze_foreign_types",
+    """SELECT CAST(id AS BIGINT) AS id, short_code, occurred_at, device_type, hashed_ip, CAST(user_id AS BIGINT) AS user_id
+       FROM src_clicks""",
+    ["src_clicks"],
+)
+def bronze_foreign_types(spark, sf):
+    """Snapshots of other writers: ids as int, decimal and text, users as float and long, codes as bytes."""
+    root, clicks = scratch_path(spark, "foreign"), fx.src_clicks(spark, sf)
+    kinds = [
+        {"id": "int"}, {"id": "decimal(20,0)", "short_code": "binary"}, {"id": "string", "user_id": "bigint"},
+        {"occurred_at": "timestamp", "device_type": "binary"},
+    ]
+    for k, casts in enumerate(kinds):
+        part = clicks.where(F.col("id") % len(kinds) == k).withColumns({c: F.col(c).cast(t) for c, t in casts.items()})
+        part.write.parquet(f"{root}/clicks/ingestion_date=2024-01-0{k + 1}")
+    return naive(src_bronze.read_bronze(spark, root), "occurred_at")
+
+
+@register(
+    "explore_job",
+    """SELECT id, short_code, lower(device_type) AS device_type FROM src_clicks
+       JOIN (VALUES (DATE '2024-01-01', 3), (DATE '2024-01-02', 5), (DATE '2024-01-03', 7)) AS s(d, tenths)
+         ON id * 10 <= (SELECT max(id) FROM src_clicks) * tenths
+       WHERE id IS NOT NULL""",
+    ["src_clicks"],
+)
+def explore_job(spark, sf):
+    lake = _lake(spark, sf)
+    refine.explore_job(spark, lake)
+    return spark.read.parquet(f"{lake}/explore/clicks").select("id", "short_code", "device_type")
+
+
+def _growing(spark: SparkSession, sf: str, tenths: int, broken: str | None = None) -> relational.Source:
+    """Sources whose clicks have grown to so many tenths; one table may fail."""
+    clicks = fx.src_clicks(spark, sf)
+    top = clicks.agg(F.max("id")).first()[0]
+    tables = {"clicks": clicks.where(F.col("id") * 10 <= top * tenths), "urls": fx.src_urls(spark, sf), "users": fx.src_users(spark, sf)}
+
+    def read(table: str) -> DataFrame:
+        if table == broken:
+            raise relational.ExtractionError(f"cannot read table {table}")
+        return tables[table]
+
+    return read
+
+
+@register(
+    "pipeline_run",
+    """, n AS (SELECT (SELECT count(*) FROM src_urls) AS urls, (SELECT count(*) FROM src_users) AS users, count(*) AS clicks, max(id) AS top,
+           max(id) FILTER (WHERE id * 10 <= t.m * 6) AS mid, count(*) FILTER (WHERE id * 10 <= t.m * 6) AS early
+         FROM src_clicks, (SELECT max(id) AS m FROM src_clicks) t GROUP BY t.m),
+       r AS (
+         SELECT 'urls' AS source_table, 'full' AS load_type, 'success' AS status, NULL::BIGINT AS watermark_start, NULL::BIGINT AS watermark_end,
+           urls AS rows_written, k AS run FROM n, (VALUES (1), (2), (3), (4)) AS v(k)
+         UNION ALL SELECT 'users', 'full', CASE k WHEN 2 THEN 'failed' ELSE 'success' END, NULL, NULL, CASE k WHEN 2 THEN NULL ELSE users END, k
+           FROM n, (VALUES (1), (2), (3), (4)) AS v(k)
+         UNION ALL SELECT 'clicks', 'incremental', 'success', 0, mid, early, 1 FROM n
+         UNION ALL SELECT 'clicks', 'incremental', 'success', mid, top, clicks - early, 2 FROM n
+         UNION ALL SELECT 'clicks', 'incremental', 'success', top, top, 0, 3 FROM n
+         UNION ALL SELECT 'clicks', 'full', 'success', NULL, NULL, clicks, 4 FROM n)
+       SELECT source_table, load_type, status, watermark_start, watermark_end, rows_written, CAST(run AS INTEGER) AS run FROM r""",
+    ["src_clicks", "src_urls", "src_users"],
+)
+def pipeline_run(spark, sf):
+    """Four runs: six tenths of the clicks, all of them with a failing table, nothing new, and all in full."""
+    lake = scratch_path(spark, "pipeline")
+    days = []
+    ledger = ingest.Ledger(spark, lake, lambda: datetime(2024, 1, len(days), tzinfo=UTC))
+    for tenths, broken, full in ((6, None, False), (10, "users", False), (10, None, False), (10, None, True)):
+        days.append(tenths)
+        ingest.run_pipeline(_growing(spark, sf, tenths, broken), lake, ledger, force_full=full)
+    kept = ["source_table", "load_type", "status", "watermark_start", "watermark_end", "rows_written"]
+    return ledger.runs().select(*kept, F.dayofmonth("started_at").alias("run"))
+
+
+@register(
+    "gold_two_days",
+    """, early AS (SELECT id, row_number() OVER (ORDER BY id) AS url_key FROM src_urls WHERE id % 3 <> 0),
+       late AS (SELECT id, (SELECT count(*) FROM early) + row_number() OVER (ORDER BY id) AS url_key FROM src_urls WHERE id % 3 = 0)
+       SELECT CAST(url_key AS INTEGER) AS url_key, id AS url_id FROM (SELECT * FROM early UNION ALL SELECT * FROM late)""",
+    ["src_urls"],
+)
+def gold_two_days(spark, sf):
+    """Keys of the second day: known urls keep theirs, also those gone from the source, new ones go on."""
+    lake, urls, users = scratch_path(spark, "two-days"), fx.src_urls(spark, sf), fx.src_users(spark, sf)
+    sinks.write_snapshot(conform(fx.src_clicks(spark, sf), SOURCE_TABLES["clicks"]), lake, "clicks", "2024-01-01")
+    refine.silver_job(spark, lake)
+    for day, known in (("2024-01-01", urls.where("id % 3 <> 0")), ("2024-01-02", urls.where("id % 5 <> 1 OR id % 3 = 0"))):
+        sinks.write_snapshot(conform(known, SOURCE_TABLES["urls"]), lake, "urls", day)
+        sinks.write_snapshot(conform(users, SOURCE_TABLES["users"]), lake, "users", day)
+        refine.gold_job(spark, lake)
+    return refine.read_star(spark, f"{lake}/gold")["dim_url"].select("url_key", "url_id")
+
+
 @register(
     "bronze_full_only",
     """SELECT d AS ingestion_date, count(*) AS row_count, max(id) AS max_id FROM src_clicks
@@ -218,13 +328,13 @@ def silver_clean(spark, sf):
 
 @register(
     "silver_cast_ts",
-    """SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN date_trunc('second', ts) END AS occurred_at FROM events""",
+    """SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN ts END AS occurred_at FROM events""",
 )
 def silver_cast_ts(spark, sf):
     texts = fx.table(spark, sf, "events").select(
         "event_id",
         F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("no time "), "event_type"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("text"),
+        .otherwise(F.col("ts").cast("string")).alias("text"),
     )
     return texts.select("event_id", F.col("text").try_cast("timestamp").cast("timestamp_ntz").alias("occurred_at"))
 
@@ -312,29 +422,12 @@ def stream_silver_clicks(spark, sf):
     work = scratch_path(spark, "stream")
     fx.configure(spark)
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    events = silver_stream.bronze_stream(spark, sf, schema, "events.parquet")
+    events = silver_stream.bronze_stream(silver_stream.stream_session(spark), sf, schema, "events.parquet")
     clicks = silver_stream.distinct_clicks(fx.clicks_of(events))
     silver_stream.run_available(clicks, f"{work}/clicks", f"{work}/checkpoint")
     return naive(spark.read.parquet(f"{work}/clicks").drop("silver_loaded_at"), "occurred_at")
 
 
-@register(
-    "repartition_invariance",
-    """SELECT n AS partitions, count(*) AS row_count, sum(CAST(id AS HUGEINT))::BIGINT AS id_sum, count(user_id) AS users
-       FROM src_clicks CROSS JOIN (VALUES (1), (4), (50), (500)) AS p(n) GROUP BY n""",
-    ["src_clicks"],
-)
-def repartition_invariance(spark, sf):
-    report = None
-    for n in (1, 4, 50, 500):
-        row = sinks.repartitioned(fx.src_clicks(spark, sf), n).agg(
-            F.lit(n).alias("partitions"), F.count(F.lit(1)).alias("row_count"), F.sum("id").alias("id_sum"),
-            F.count("user_id").alias("users"),
-        )
-        report = row if report is None else report.unionByName(row)
-    return report
-
-
 # --- Scalar functions ----------------------------------------------------------------------------
 
 @register(
@@ -462,6 +555,14 @@ def dedup_freshest_wins(spark, sf):
     return freshest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+@register("fact_clicks_shuffled", "SELECT * FROM fact_clicks", ["fact_clicks"])
+def fact_clicks_shuffled(spark, sf):
+    """The fact by way of the shuffled lookup, as with dimensions beyond the broadcast limit."""
+    gold = scratch_path(spark, "gold-shuffled")
+    refine.publish_star(gold, fx.src_urls(spark, sf), fx.src_users(spark, sf), _silver(spark, sf), broadcast_bytes=0)
+    return naive(refine.read_star(spark, gold)["fact_clicks"].drop("row_loaded_at"), "occurred_at")
+
+
 @register("fact_clicks", "SELECT * FROM fact_clicks", ["fact_clicks"])
 def fact_clicks(spark, sf):
     return naive(_star(spark, sf)["fact_clicks"].drop("row_loaded_at"), "occurred_at")
@@ -875,21 +976,19 @@ def dq_monotonic_ids(spark, sf):
          CAST(floor(epoch(TIMESTAMP '2001-08-01 00:00:00' - last_success_at) / 60) AS BIGINT) AS age_minutes,
          CAST(sla_minutes AS INTEGER) AS sla_minutes,
          coalesce(epoch(TIMESTAMP '2001-08-01 00:00:00' - last_success_at) > sla_minutes * 60, true) AS is_late
-       FROM (VALUES ('clicks', 60), ('urls', 1440), ('users', 14400), ('visits', 60)) AS t(source_table, sla_minutes)
+       FROM (VALUES ('clicks', 1440), ('urls', 1440), ('users', 1440)) AS t(source_table, sla_minutes)
        LEFT JOIN (SELECT source_table, max(started_at) AS last_success_at FROM ledger_runs WHERE status = 'success' GROUP BY 1) r
          ON r.source_table = t.source_table""",
     ["ledger_runs"],
 )
 def dq_freshness(spark, sf):
-    limits = {"clicks": 60, "urls": 1440, "users": 14400, "visits": 60}
+    limits = ct.freshness_limits(ct.load_contracts())
     return quality.freshness(lg.summary(fx.ledger_runs(spark, sf)), limits, _NOW)
 
 
-# --- Generators: as many rows as the given tables have -------------------------------------------
+# --- Generators ----------------------------------------------------------------------------------
 
 _GEN_SQL = "TIMESTAMP '2026-01-01 00:00:00'"
-_DEVICE_SQL = "CASE WHEN {d} % 100 < 60 THEN 'mobile' WHEN {d} % 100 < 95 THEN 'desktop' ELSE 'tablet' END"
-_DOMAIN_SQL = "['example.com', 'github.com', 'news.example', 'shop.example', 'blog.example'][{d} % 5 + 1]"
 
 
 def _picked(pool: str, key: str, columns: str = "*") -> str:
@@ -922,118 +1021,6 @@ def gen_clicks_source(spark, sf):
     )
 
 
-@register(
-    "gen_clicks_weighted",
-    f"""SELECT g + 1 AS id, concat('abc', lpad(CAST(g % 500 AS VARCHAR), 3, '0')) AS short_code,
-          {_GEN_SQL} + to_seconds(g) AS occurred_at, {_DEVICE_SQL.format(d=scatter_sql('g', 42))} AS device_type,
-          lpad(printf('%x', g), 64, '0') AS hashed_ip,
-          CASE WHEN {scatter_sql('g', 43)} % 100 < 30 THEN {scatter_sql('g', 44)} % 200 + 1 END AS user_id
-        FROM (SELECT event_id AS g FROM events)""",
-)
-def gen_clicks_weighted(spark, sf):
-    return naive(generators.weighted_clicks(_numbered(spark, sf, "events", "event_id")), "occurred_at")
-
-
-def _year(spark: SparkSession) -> DataFrame:
-    return dims.date_keys_of_year(dims.calendar(spark), 2026)
-
-
-@register(
-    "gen_star_urls",
-    f""", days AS (SELECT date_key FROM dim_date WHERE year = 2026)
-        SELECT 900000 + g AS url_key, 900000 + g AS url_id, concat('bench', lpad(CAST(g AS VARCHAR), 6, '0')) AS short_code,
-          {_DOMAIN_SQL.format(d=scatter_sql('g', 42))} AS original_url_domain, {scatter_sql('g', 43)} % 10 <> 0 AS is_active,
-          d.date_key AS created_date_key
-        FROM (SELECT page_id AS g FROM pages) JOIN {_picked('days', 'date_key')} d ON d.pick = {_pick(44, 'days')}""",
-    ["dim_date"],
-)
-def gen_star_urls(spark, sf):
-    return generators.star_urls(_numbered(spark, sf, "pages", "page_id"), _year(spark))
-
-
-@register(
-    "gen_star_users",
-    f"""SELECT 900000 + g AS user_key, 900000 + g AS user_id, ['FREE', 'PREMIUM'][{scatter_sql('g', 45)} % 2 + 1] AS plan_type,
-          true AS is_known
-        FROM (SELECT c_custkey AS g FROM customer)""",
-)
-def gen_star_users(spark, sf):
-    return generators.star_users(_numbered(spark, sf, "customer", "c_custkey"))
-
-
-@register(
-    "gen_star_clicks",
-    f""", days AS (SELECT date_key FROM dim_date WHERE year = 2026),
-        draws AS (SELECT event_id AS g, {scatter_sql('event_id', 46)} % (SELECT count(*) FROM pages) AS url FROM events)
-        SELECT 900000000 + g AS click_id, d.date_key, 900000 + url AS url_key,
-          CASE WHEN {scatter_sql('g', 47)} % 5 = 0 THEN -1
-            ELSE 900000 + {scatter_sql('g', 48)} % (SELECT count(*) FROM customer) END AS user_key,
-          CAST({scatter_sql('g', 49)} % 4 + 1 AS INTEGER) AS device_key,
-          concat('bench', lpad(CAST(url AS VARCHAR), 6, '0')) AS short_code, {_GEN_SQL} AS occurred_at,
-          CAST(1 AS SMALLINT) AS click_count
-        FROM draws JOIN {_picked('days', 'date_key')} d ON d.pick = {_pick(50, 'days')}""",
-    ["dim_date"],
-)
-def gen_star_clicks(spark, sf):
-    n_urls = fx.table(spark, sf, "pages").count()
-    n_users = fx.table(spark, sf, "customer").count()
-    rows = _numbered(spark, sf, "events", "event_id")
-    return naive(generators.star_clicks(rows, n_urls, n_users, _year(spark), _GEN_NOW), "occurred_at")
-
-
-_LETTERS_SQL = ", ".join(
-    f"chr(CAST(97 + (((g % {26**6}) * 48271 + {42 * 7919}) % {26**6}) // {26**place} % 26 AS INTEGER))" for place in range(6)
-)
-_SEED_URLS_SQL = f"""SELECT g + 1 AS id, concat({_LETTERS_SQL}, CASE WHEN g >= {26**6} THEN CAST(g // {26**6} AS VARCHAR) ELSE '' END)
-    AS short_code, concat('https://', {_DOMAIN_SQL.format(d=scatter_sql('g', 44))}, '/', g) AS original_url,
-    {_GEN_SQL} AS created_at, true AS is_active FROM (SELECT page_id AS g FROM pages)"""
-_SEED_USERS_SQL = f"""SELECT g + 1 AS id, concat('user', g, '@example.com') AS email,
-    CASE WHEN {scatter_sql('g', 42)} % 100 < 85 THEN 'FREE' ELSE 'PREMIUM' END AS plan_type, {_GEN_SQL} AS created_at
-    FROM (SELECT c_custkey AS g FROM customer)"""
-
-
-def _seed_clicks_sql(source: str, seed: int, minutes: int, first: str) -> str:
-    return f"""SELECT g + {first} AS id, u.short_code,
-          {_GEN_SQL} - to_minutes({scatter_sql('g', seed + 2)} % {minutes + 1}) AS occurred_at,
-          {_DEVICE_SQL.format(d=scatter_sql('g', seed + 3))} AS device_type, sha256(concat('{seed}-', g)) AS hashed_ip,
-          CASE WHEN {scatter_sql('g', seed + 4)} % 100 < 30 THEN p.id END AS user_id
-        FROM (SELECT g, {_pick(seed, 'seed_urls')} AS url_pick, {_pick(seed + 1, 'seed_users')} AS user_pick FROM {source})
-        JOIN {_picked('seed_urls', 'id')} u ON u.pick = url_pick
-        JOIN {_picked('seed_users', 'id')} p ON p.pick = user_pick"""
-
-
-def _seeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    urls = generators.seed_urls(_numbered(spark, sf, "pages", "page_id"), _GEN_NOW)
-    return urls, generators.seed_users(_numbered(spark, sf, "customer", "c_custkey"), _GEN_NOW)
-
-
-@register("gen_seed_urls", _SEED_URLS_SQL)
-def gen_seed_urls(spark, sf):
-    return naive(_seeds(spark, sf)[0], "created_at")
-
-
-@register("gen_seed_users", _SEED_USERS_SQL)
-def gen_seed_users(spark, sf):
-    return naive(_seeds(spark, sf)[1], "created_at")
-
-
-@register(
-    "gen_seed_clicks",
-    f"""WITH seed_urls AS ({_SEED_URLS_SQL}), seed_users AS ({_SEED_USERS_SQL}),
-        early AS ({_seed_clicks_sql('(SELECT event_id AS g FROM events)', 42, 14399, '1')}),
-        late AS ({_seed_clicks_sql('(SELECT o_orderkey AS g FROM orders)', 43, 180, '(SELECT max(id) + 1 FROM early)')})
-        SELECT * FROM early UNION ALL SELECT * FROM late""",
-)
-def gen_seed_clicks(spark, sf):
-    """First batch over ten days, then a later one over three hours that goes on after its ids."""
-    urls, users = _seeds(spark, sf)
-    early = generators.seed_clicks(_numbered(spark, sf, "events", "event_id"), urls, users, _GEN_NOW, 14399)
-    first = early.agg(F.max("id") + 1).scalar()
-    rows = _numbered(spark, sf, "orders", "o_orderkey")
-    late = generators.seed_clicks(rows, urls, users, _GEN_NOW, 180, first, generators.LATER_SEED)
-    return naive(early.unionByName(late), "occurred_at")
-
-
 def queries() -> dict[str, Query]:
     return {name: query for name, (query, _) in REGISTRY.items()}
 

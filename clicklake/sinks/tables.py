@@ -54,17 +54,50 @@ def write_batch(df: DataFrame, lake: str, table: str, start: int, end: int) -> t
     return f"bronze/{table}/incremental/watermark_start={first}/watermark_end={last}", rows
 
 
+def _previous(path: str) -> str:
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_previous/{name}"
+
+
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def _move(files, source, target) -> None:
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a swap that died has left: the old table goes back where no new one is in its place."""
+    files, target = _files(spark, path)
+    _, aside = _files(spark, _previous(path))
+    if not files.exists(aside):
+        return
+    if files.exists(target):
+        files.delete(aside, True)
+    else:
+        _move(files, aside, target)
+
+
 def _swap(spark: SparkSession, staged: str, path: str) -> bool:
-    """Put the staged directory in the place of ``path``; False if nothing was staged."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(staged), hadoop.Path(path)
-    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    """Put the staged directory in the place of ``path``; False if nothing was staged.
+
+    The old table is moved aside, the new one in, then the old one deleted. At every moment one of them is
+    whole under a name that ``recover`` knows.
+    """
+    files, source = _files(spark, staged)
     if not files.exists(source):
         return False
-    files.delete(target, True)
-    files.mkdirs(target.getParent())
-    if not files.rename(source, target):
-        raise OSError(f"could not move {staged} to {path}")
+    recover(spark, path)
+    _, target = _files(spark, path)
+    _, aside = _files(spark, _previous(path))
+    if files.exists(target):
+        _move(files, target, aside)
+    _move(files, source, target)
+    files.delete(aside, True)
     return True
 
 

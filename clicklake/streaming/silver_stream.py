@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from clicklake.operators.silver import clean_clicks
 from clicklake.schemas import CLICKS
+from clicklake.session import configure
 
 
 def bronze_stream(spark: SparkSession, folder: str, schema: StructType = CLICKS, pattern: str = "*.parquet") -> DataFrame:
@@ -19,17 +20,22 @@ def bronze_stream(spark: SparkSession, folder: str, schema: StructType = CLICKS,
     )
 
 
-def distinct_clicks(bronze: DataFrame, late_by: str | None = None) -> DataFrame:
-    """Clean clicks, each id once across all runs of the stream.
+def distinct_clicks(bronze: DataFrame) -> DataFrame:
+    """Clean clicks, each id once across all runs of the stream, however late it comes.
 
-    The stream remembers every id it has seen. ``late_by`` (such as "7 days") bounds that memory:
-    ids are forgotten once the event-time watermark has passed them by that much, which is right as
-    long as no copy of a click arrives later than that.
+    The stream remembers every id it has seen; ``stream_session`` keeps them on disk.
     """
-    clean = clean_clicks(bronze)
-    if late_by is None:
-        return clean.dropDuplicates(["click_id"])
-    return clean.withWatermark("occurred_at", late_by).dropDuplicatesWithinWatermark(["click_id"])
+    return clean_clicks(bronze).dropDuplicates(["click_id"])
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of its own for streams, whose state lies in RocksDB and not in executor memory."""
+    child = configure(spark.newSession())
+    child.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    return child
 
 
 def run_available(clicks: DataFrame, target: str, checkpoint: str) -> None:

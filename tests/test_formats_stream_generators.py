@@ -71,9 +71,9 @@ def test_stream_takes_each_click_once_over_runs(spark, tmp_path):
     root, target, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "checkpoint"))
     clicks = conform(generators.weighted_clicks(generators.numbers(spark, 50)), CLICKS)
 
-    def run(late_by=None):
-        stream = silver_stream.bronze_stream(spark, root)
-        silver_stream.run_available(silver_stream.distinct_clicks(stream, late_by), target, checkpoint)
+    def run():
+        stream = silver_stream.bronze_stream(silver_stream.stream_session(spark), root)
+        silver_stream.run_available(silver_stream.distinct_clicks(stream), target, checkpoint)
         return spark.read.parquet(target)
 
     clicks.where("id <= 30").write.parquet(f"{root}/ingestion_date=2026-09-01")
@@ -84,13 +84,18 @@ def test_stream_takes_each_click_once_over_runs(spark, tmp_path):
     assert run().count() == 50
 
 
-def test_stream_with_bounded_memory(spark, tmp_path):
-    root = str(tmp_path / "bronze")
+def test_stream_keeps_clicks_that_come_late(spark, tmp_path):
+    """A click first seen long after later ones is taken; its copies are not."""
+    root, target, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "checkpoint"))
     clicks = conform(generators.weighted_clicks(generators.numbers(spark, 20)), CLICKS)
-    clicks.unionByName(clicks).write.parquet(f"{root}/ingestion_date=2026-09-01")
-    stream = silver_stream.distinct_clicks(silver_stream.bronze_stream(spark, root), "7 days")
-    silver_stream.run_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+    late = clicks.where("id <= 5").withColumn("occurred_at", F.expr("occurred_at - INTERVAL 900 DAYS"))
+    for day, part in ((1, clicks.where("id > 5")), (2, late), (3, clicks.where("id > 15").unionByName(late))):
+        part.write.parquet(f"{root}/ingestion_date=2026-09-0{day}")
+        stream = silver_stream.bronze_stream(silver_stream.stream_session(spark), root)
+        silver_stream.run_available(silver_stream.distinct_clicks(stream), target, checkpoint)
+    out = spark.read.parquet(target)
+    assert out.count() == out.select("click_id").distinct().count() == 20
+
 
 
 def test_scatter_is_even_and_independent_of_the_seed(spark):

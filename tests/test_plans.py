@@ -38,11 +38,7 @@ def test_top_urls_need_no_full_sort(spark, sf):
     assert "TakeOrderedAndProject" in plan_of(metrics.top_urls(star["fact_clicks"], star["dim_url"]))
 
 
-HEAVY = {"bronze_mixed_read", "silver_clicks", "stream_silver_clicks", "roundtrip_formats", "bronze_full_only",
-         "pruned_date_range", "watermark_from_snapshot"}
-
-
-@pytest.mark.parametrize("name", sorted(set(registry.REGISTRY) - HEAVY))
+@pytest.mark.parametrize("name", sorted(registry.REGISTRY))
 def test_no_cross_join_and_no_python_in_any_query(spark, sf, name):
     plan = plan_of(registry.REGISTRY[name][0](spark, sf))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):

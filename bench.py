@@ -24,6 +24,7 @@ from clicklake.session import configure, scratch_path  # noqa: E402
 from clicklake.sinks import formats as sink_formats  # noqa: E402
 from clicklake.sinks import tables as sinks  # noqa: E402
 from clicklake.sources import formats  # noqa: E402
+from clicklake.sources.bronze import read_bronze  # noqa: E402
 from clicklake.sources.relational import incremental_scan  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -71,6 +72,21 @@ def main() -> None:
         lambda: refine.publish_star(gold, fx.src_urls(spark, SF_DIR), fx.src_users(spark, SF_DIR), silver)
     )
 
+    urls, users = fx.src_urls(spark, SF_DIR), fx.src_users(spark, SF_DIR)
+    timings["build_star_shuffled_lookup"] = best(
+        lambda: refine.publish_star(f"{lake}/gold-shuffled", urls, users, silver, broadcast_bytes=0)
+    )
+    foreign = f"{lake}/foreign/bronze"
+    for day, kind in enumerate(("int", "decimal(20,0)", "string"), 1):
+        part = clicks.where(F.col("id") % 3 == day - 1).withColumn("id", F.col("id").cast(kind))
+        part.write.parquet(f"{foreign}/clicks/ingestion_date=2024-02-0{day}")
+    timings["foreign_bronze_read"] = best(lambda: drain(read_bronze(spark, foreign)))
+    for day, known in (("2024-02-01", urls.where("id % 4 <> 0")), ("2024-02-02", urls)):
+        sinks.write_snapshot(conform(known, SOURCE_TABLES["urls"]), lake, "urls", day)
+        sinks.write_snapshot(conform(users, SOURCE_TABLES["users"]), lake, "users", day)
+    # The first run works in both days, the later ones the last day again.
+    timings["gold_job_two_days"] = best(lambda: refine.gold_job(spark, lake))
+
     star = refine.read_star(spark, gold)
     for name in metrics.CATALOGUE:
         timings[name] = best(lambda name=name: metrics.metric(name, star).collect())

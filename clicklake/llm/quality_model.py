@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import held_out, ship, stored
+from clicklake.llm.common import held_out, ship
+from clicklake.session import stored
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 SHAPES = ("lower", "upper", "title", "mixed", "digits", "signs")
@@ -163,13 +164,27 @@ def learn(
 
     def neighbour_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, total = _lexicon(vocabulary), np.zeros(n_rows * dims, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add() -> None:
+            if held:
+                word, near = (np.concatenate(side) for side in zip(*held, strict=True))
+                for k in range(ones):
+                    found = np.bincount(word * dims + places[near, k], weights=signs[near, k], minlength=n_rows * dims)
+                    np.add(total, found.astype(np.int64), out=total)
+                held.clear()
+
+        size = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 rows = lexicon.rows(text)
                 for gap in range(1, reach + 1):
-                    for word, near in ((rows[gap:], rows[:-gap]), (rows[:-gap], rows[gap:])):
-                        at = (word[:, None] * dims + places[near]).ravel()
-                        total += np.bincount(at, weights=signs[near].ravel(), minlength=n_rows * dims).astype(np.int64)
+                    held += [(rows[gap:], rows[:-gap]), (rows[:-gap], rows[gap:])]
+                size += len(rows)
+                if size > _CHUNK * 8:
+                    add()
+                    size = 0
+        add()
         table = total.reshape(n_rows, dims)
         used = np.flatnonzero(table.any(1))
         yield pa.RecordBatch.from_pandas(pd.DataFrame({"row": used, "v": list(table[used])}), preserve_index=False)

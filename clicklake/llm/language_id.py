@@ -163,8 +163,15 @@ def learn(docs: DataFrame, rows_per_language: int = 400, max_languages: int = 25
     ship(docs.sparkSession)
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64("doc_id").alias("draw"))
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages to learn")
+    if not sizes:
+        return build({})
+    # Draws above four times the wanted share cannot be among the lowest; without them no task sees a whole language.
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 4.0 * rows_per_language / n))])
+    usable = usable.where(F.col("draw") / F.lit(2.0**64) + 0.5 <= share[F.col("lang")])
     drawn = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    # The rank limit is applied in each task before the shuffle, so a frequent language moves few rows.
     chosen = usable.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= rows_per_language)
     chosen = chosen.select("doc_id", F.col("lang").alias("chosen_lang")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(chosen), "doc_id")
@@ -173,8 +180,6 @@ def learn(docs: DataFrame, rows_per_language: int = 400, max_languages: int = 25
     counts = {
         lang: (part["gram"].to_numpy(np.int64), part["n"].to_numpy(np.int64)) for lang, part in rows.groupby("lang", sort=True)
     }
-    if len(counts) > max_languages:
-        raise ValueError(f"{len(counts)} languages to learn; {max_languages} are allowed")
     return build(counts)
 
 

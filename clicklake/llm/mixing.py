@@ -13,7 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import stored, words
+from clicklake.llm.common import words
+from clicklake.session import stored
 
 MAX_EPOCHS = 3
 _SOURCE = ["no_source", "source_name"]
@@ -61,6 +62,21 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     )
 
 
+def cell_of(sized: DataFrame, rows_per_cell: int) -> Column:
+    """Cell of a key: a rising function of it that deals rows about evenly.
+
+    A key above t has the probability of the mean of exp(-weight * t) over the documents; 16 quantiles of the
+    weights stand for them. Only these and the row count reach the driver.
+    """
+    spots = F.array(*[F.lit((2 * k + 1) / 32) for k in range(16)])
+    n_rows, quantiles = sized.agg(F.count(F.lit(1)), F.percentile_approx("weight", spots)).first()
+    if not n_rows:
+        return F.lit(0).cast("long")
+    above = sum((F.exp(-F.col("key") * w) for w in quantiles), F.lit(0.0)) / len(quantiles)
+    n_cells = max(1, math.ceil(n_rows / rows_per_cell))
+    return F.least(F.floor((1 - above) * n_cells), F.lit(n_cells - 1)).cast("long")
+
+
 def mix(
     docs: DataFrame,
     weights: tuple[int, ...] = (1, 2, 3),
@@ -86,13 +102,12 @@ def mix(
         F.col("source").isNull().alias("no_source"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_name"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        (-F.log(draw(F.col("doc_id"), seed)) / weight).alias("key"),
+        draw(F.col("doc_id"), seed).alias("draw"),
+        weight.alias("weight"),
         *whole,
-    )
+    ).withColumn("key", -F.log("draw") / F.col("weight")).drop("draw")
     sized = stored(sized, "mix-sizes")
-    n_cells = max(1, math.ceil(sized.count() / rows_per_cell))
-    cell = F.least(F.floor((1 - F.exp(-F.col("key"))) * n_cells), F.lit(n_cells - 1)).cast("long")
-    sized = sized.withColumn("cell", cell)
+    sized = sized.withColumn("cell", cell_of(sized, rows_per_cell))
 
     budgets = targets(sized.groupBy(*_SOURCE).agg(F.sum("size").alias("source_size")), weights)
     in_order = Window.partitionBy(*_SOURCE).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

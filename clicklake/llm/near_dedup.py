@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklake.llm import shingles as sh
-from clicklake.llm.common import ship, stored
+from clicklake.llm.common import ship
 from clicklake.llm.components import components
+from clicklake.session import stored
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
@@ -171,7 +172,8 @@ def near_groups(
 
     named = classes.select("set_key", "least_id").join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     named = named.withColumn("label", F.coalesce("label", "set_key"))
-    smallest = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    # Written down, so that the join below can split a label in a third of all classes.
+    smallest = stored(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "near-smallest")
     named = named.join(smallest, "label").select("set_key", "component_id")
     out = signed.drop("bands").join(named, "set_key", "left")
     out = out.withColumn("component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))

@@ -1,4 +1,4 @@
-"""What several operators share: word and line patterns, the learning split, stored intermediates."""
+"""What several operators share: word patterns, the learning split, handing the code to Python workers."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import clicklake
-from clicklake.session import scratch_path
 
 # White space is the blank and the characters 9 to 13; a word is a run of anything else.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -37,13 +36,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and safe when executors go."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 _shipped: set[str] = set()
 
 

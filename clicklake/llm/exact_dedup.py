@@ -18,7 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import ascii_lower, ship, stored
+from clicklake.llm.common import ascii_lower, ship
+from clicklake.session import stored
 
 _OUT = pa.schema([
     ("doc_id", pa.int64()), ("head", pa.bool_()), ("text_sha256", pa.string()), ("part", pa.int32()),

@@ -109,21 +109,18 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return out
 
 
-_TRIES = (mix(np.arange(REGISTERS * 64, dtype=np.uint64) + _U(77)) % _U(REGISTERS)).astype(np.int64).reshape(REGISTERS, 64)
+# Each register's own order of all registers: _TURN[k, j] is the turn at which register k asks register j.
+_TURN = mix(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + _U(77)).reshape(REGISTERS, REGISTERS).argsort(1).argsort(1).astype(np.uint8)
 _FACTORS = mix(np.arange(5000, 5000 + ROWS, dtype=np.uint64)) | _U(1)
 _BAND = mix(np.arange(9000, 9000 + BANDS, dtype=np.uint64))
 
 
 def bands(registers: np.ndarray) -> np.ndarray:
-    """Keys of the bands. An empty register borrows from the first filled one of its own fixed sequence."""
-    filled = registers > 0
+    """Keys of the bands. An empty register borrows from the first filled one in its own order of all registers."""
     source = np.arange(REGISTERS)
-    empty = np.flatnonzero(~filled)
+    empty, filled = np.flatnonzero(registers == 0), np.flatnonzero(registers)
     if len(empty):
-        ok = filled[_TRIES[empty]]
-        hit = ok.any(1)
-        source[empty[hit]] = _TRIES[empty[hit], ok[hit].argmax(1)]
-        source[empty[~hit]] = np.flatnonzero(filled)[0]
+        source[empty] = filled[_TURN[np.ix_(empty, filled)].argmin(1)]
     value = registers[source].astype(np.uint64) | (source.astype(np.uint64) << _U(16))
     rows = mix(value)[: ROWS * BANDS].reshape(BANDS, ROWS)
     return mix((rows * _FACTORS).sum(1, dtype=np.uint64) ^ _BAND).view(np.int64)

@@ -141,3 +141,16 @@ def test_empty_tables(make_docs):
     for out in (exact_dedup.exact_dedup(docs), near_dedup.near_groups(docs), line_dedup.line_dedup(docs)):
         assert out.count() == 0
     assert exact_dedup.kept_documents(docs).count() == near_dedup.kept_documents(docs).count() == 0
+
+
+def test_short_pairs_share_a_band(make_docs):
+    rng, rows, pairs = random.Random(11), [], 1500
+    for kind, (shared, union) in enumerate(((4, 5), (5, 6), (8, 10))):
+        for k in range(pairs):
+            words = [f"{kind}x{k}x{rng.randrange(10**9)}x{m}" for m in range(union)]
+            at = 2 * (kind * pairs + k)
+            rows += [(at, " ".join(words), "en", "s"), (at + 1, " ".join(words[:shared]), "en", "s")]
+    want = {i: c for k in range(0, len(rows), 2) for i, _, c in brute_groups(rows[k : k + 2], 1)}
+    assert all(c == i - i % 2 for i, c in want.items())
+    found = near_dedup.near_groups(make_docs(rows), 1).collect()
+    assert {r.doc_id: r.component_id for r in found} == want

@@ -125,21 +125,8 @@ def _tasks(rows: DataFrame, chunk: int) -> DataFrame:
     return small.unionByName(whole).unionByName(asking)
 
 
-def near_groups(
-    docs: DataFrame, shingle_words: int = 5, percent: int = 80, first_bands: int = 8, chunk: int = 512
-) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
-
-    Words are separated by blanks and the characters 9 to 13, A-Z in lower case. A document's set is its
-    distinct shingles of ``shingle_words`` words, or its words as one if it has fewer. Null, empty and blank
-    texts have no set and are linked with nothing. Documents whose sets share ``percent`` of their union are
-    linked; ``component_id`` is the smallest id reachable, ``kept`` marks the rows that carry it. Documents with
-    equal sets are linked, also where rows repeat with their id. A null id is no smallest id; a group of null
-    ids only has a null component and is kept. An empty table gives no rows; further columns are not looked at.
-
-    A pair at 80 percent misses all 42 bands of six registers with a probability of about 8 in a million; sets of
-    4 and 5 shingles, which crowd few registers, 15 in a million.
-    """
+def _grouped(docs: DataFrame, shingle_words: int, percent: int, first_bands: int = 8, chunk: int = 512) -> DataFrame:
+    """``near_groups`` with the name of each group, ``label``: the set key of one of its classes, null without words."""
     ship(docs.sparkSession)
     signed = stored(_signed(docs, shingle_words), "near-signed")
     spelt = signed.where(F.col("set_key").isNotNull())
@@ -175,22 +162,43 @@ def near_groups(
     named = named.withColumn("label", F.coalesce("label", "set_key"))
     # Written down, so that the join below can split a label in a third of all classes.
     smallest = stored(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "near-smallest")
-    named = named.join(smallest, "label").select("set_key", "component_id")
+    named = named.join(smallest, "label").select("set_key", "component_id", "label")
     out = signed.drop("bands").join(named, "set_key", "left")
     out = out.withColumn("component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "label")
+
+
+def near_groups(
+    docs: DataFrame, shingle_words: int = 5, percent: int = 80, first_bands: int = 8, chunk: int = 512
+) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept, text_hash``.
+
+    Words are separated by blanks and the characters 9 to 13, A-Z in lower case. A document's set is its
+    distinct shingles of ``shingle_words`` words, or its words as one if it has fewer. Null, empty and blank
+    texts have no set and are linked with nothing. Documents whose sets share ``percent`` of their union are
+    linked; ``component_id`` is the smallest id reachable, ``kept`` marks the rows that carry it. Documents with
+    equal sets are linked, also where rows repeat with their id. A null id is no smallest id; a group of null
+    ids only has a null component and is kept. An empty table gives no rows; further columns are not looked at.
+
+    A pair at 80 percent misses all 42 bands of six registers with a probability of about 8 in a million; sets of
+    4 and 5 shingles, which crowd few registers, 15 in a million.
+    """
+    return _grouped(docs, shingle_words, percent, first_bands, chunk).drop("label")
 
 
 def kept_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay, one of each group, with their own columns.
 
-    Where rows of a group share the smallest id, the one with the smallest text hash stays, once. Documents
-    without words are groups of their own.
+    Of a group the row with the smallest id stays, null ids last, and of rows that share it the one with the
+    smallest text hash, once. Documents without words are groups of their own; such rows that repeat with id and
+    text leave one.
     """
-    kept = near_groups(docs, shingle_words, percent).where("kept")
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    alone = F.when(F.col("n_shingles") == 0, F.col("text_hash"))
-    chosen = kept.groupBy(name.alias("_name"), "component_id", alone.alias("alone")).agg(F.min("text_hash").alias("_hash"))
-    chosen = chosen.select("_name", "_hash").distinct()
-    own = docs.withColumns({"_name": name, "_hash": F.xxhash64("text")})
+    kept = _grouped(docs, shingle_words, percent).where("kept")
+    name = lambda i: F.coalesce(i.cast("string"), F.lit(""))
+    # Groups with words go by their label alone; an id need not name a group, a null id never does.
+    alone = F.when(F.col("label").isNull(), F.struct(name(F.col("doc_id")).alias("id"), "text_hash"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("one")
+    chosen = kept.groupBy("label", alone.alias("alone")).agg(least)
+    chosen = chosen.select(name(F.col("one.doc_id")).alias("_name"), F.col("one.text_hash").alias("_hash"))
+    own = docs.withColumns({"_name": name(F.col("doc_id").cast("long")), "_hash": F.xxhash64("text")})
     return own.join(chosen, ["_name", "_hash"], "left_semi").dropDuplicates(["_name", "_hash"]).select(*docs.columns)

@@ -154,3 +154,16 @@ def test_short_pairs_share_a_band(make_docs):
     assert all(c == i - i % 2 for i, c in want.items())
     found = near_dedup.near_groups(make_docs(rows), 1).collect()
     assert {r.doc_id: r.component_id for r in found} == want
+
+
+def test_kept_documents_of_ids_that_do_not_name_a_group(make_docs):
+    apart = lambda k: " ".join(f"u{k}x{m}" for m in range(12))
+    near = " ".join(["changed", *apart(0).split()[1:]])
+    rows = [(None, apart(k), "en", "s") for k in range(20)] + [(None, near, "en", "s"), (None, apart(3), "en", "s")]
+    rows += [(7, apart(30), "en", "s"), (7, apart(31), "en", "s"), (7, apart(31), "en", "s"), (8, apart(30), "en", "s")]
+    rows += [(None, "", "en", "s"), (None, None, "en", "s"), (9, " ", "en", "s"), (5, apart(4), "en", "s")]
+    kept = [(r.doc_id, r.text) for r in near_dedup.kept_documents(make_docs(rows), 1).collect()]
+    alone = [(None, apart(k)) for k in range(1, 20) if k != 4] + [(5, apart(4)), (7, apart(30)), (7, apart(31))]
+    alone += [(None, ""), (None, None), (9, " ")]
+    assert len(kept) == len(alone) + 1 and set(alone) <= set(kept)
+    assert len(set(kept) & {(None, apart(0)), (None, near)}) == 1

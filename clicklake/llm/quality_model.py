@@ -142,15 +142,18 @@ def learn(
 ) -> Model | None:
     """Model from at most ``max_rows`` labelled rows, drawn by id hash; the held-out fifth is left out.
 
-    None without usable labels. Ids labelled more than once count once, with their smallest label.
+    None without usable labels. Ids labelled more than once count once, with their smallest label; ids with several
+    documents give one of them, the text with the smallest hash.
     """
     ship(docs.sparkSession)
     known = labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # At most max_rows ids and labels are sent to the tasks.
-    sample = stored(texts.join(F.broadcast(chosen), "doc_id"), "quality-sample").repartition(24, "doc_id")
+    # At most max_rows ids and labels are sent to the tasks; rows that repeat an id leave the text of the smallest hash.
+    labelled = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality")
+    labelled = labelled.agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    sample = stored(labelled.select("doc_id", "quality", "one.text"), "quality-sample").repartition(24, "doc_id")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

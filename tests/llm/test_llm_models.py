@@ -171,3 +171,12 @@ def test_pipeline_stages(spark, sf):
             assert docs.select(F.lower("text")).distinct().count() == docs.count()
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
+
+
+def test_repeated_ids_give_one_row_to_learn_from(spark, make_docs):
+    once = [(k, f"shared words here {'good' if k % 2 else 'bad'} only{k} only{k}", "en", "s") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    plain = quality_model.learn(make_docs(once), labels)
+    repeated = quality_model.learn(make_docs(once + [r for r in once for _ in range(4)]), labels)
+    assert plain.vocabulary == repeated.vocabulary
+    assert all(np.array_equal(a, b) for a, b in zip(plain.weights, repeated.weights, strict=True))

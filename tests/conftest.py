@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import SparkSession
@@ -10,7 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from clicklake.session import configure  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-BRONZE_CLICK = "id bigint, short_code string, occurred_at timestamp, device_type string, hashed_ip string, user_id double"
 
 
 @pytest.fixture(scope="session")
@@ -32,11 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text).replace(tzinfo=UTC)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

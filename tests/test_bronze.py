@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clicklake.schemas import CLICKS
 from clicklake.sources import bronze, listing
-from conftest import plan_of
+from helpers import plan_of
 
 FULL = "clicks/ingestion_date={}/clicks.parquet"
 BATCH = "clicks/incremental/watermark_start={:012d}/watermark_end={:012d}/clicks.parquet"

@@ -7,7 +7,7 @@ from clicklake.sinks import formats as out
 from clicklake.sinks import tables as sinks
 from clicklake.sources import formats, generators
 from clicklake.streaming import silver_stream
-from conftest import at, plan_of
+from helpers import at, plan_of
 
 NOW = at("2026-09-01T12:00:00")
 

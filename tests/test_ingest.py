@@ -5,7 +5,7 @@ from clicklake.operators import ledger as lg
 from clicklake.plans import ingest, reports
 from clicklake.sources.bronze import read_bronze
 from clicklake.sources.relational import ExtractionError, jdbc_options, parquet_source
-from conftest import at
+from helpers import at
 
 
 def clicks(spark, first, last):

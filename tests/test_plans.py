@@ -8,7 +8,7 @@ from clicklake import registry
 from clicklake.plans import metrics
 from clicklake.session import scratch_path
 from clicklake.sources import relational
-from conftest import plan_of
+from helpers import plan_of
 
 
 def test_watermark_reaches_the_scan(spark, sf):

@@ -5,7 +5,7 @@ from clicklake.operators import ledger as lg
 from clicklake.operators import pii, quality, storage
 from clicklake.plans import reports
 from clicklake.schemas import SOURCE_TABLES, empty
-from conftest import at
+from helpers import at
 
 RUNS = (
     "run_id string, pipeline_name string, source_table string, load_type string, status string, watermark_end bigint, "

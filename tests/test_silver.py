@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from clicklake.operators import silver
 from clicklake.schemas import SILVER_CLICKS
-from conftest import BRONZE_CLICK, at, plan_of
+from helpers import BRONZE_CLICK, at, plan_of
 
 DIGEST = "a" * 64
 TIME = at("2026-09-01T10:00:00")

@@ -16,7 +16,7 @@ from clicklake.plans import ingest, metrics, refine
 from clicklake.schemas import DIM_URL, STAR_KEYS, STAR_TABLES
 from clicklake.session import scratch_path
 from clicklake.sinks import tables as sinks
-from conftest import at, plan_of
+from helpers import at, plan_of
 
 
 def test_calendar_equals_sql(spark):

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.llm import chat_format, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, sql, token_counts
+from clicklake.llm import (
+    chat_format, exact_dedup, language_id, line_dedup, mixing, near_dedup, packing, prefix_trie, quality_model, quality_rules, spelling, sql, token_counts, warc,
+)
 from clicklake.llm.common import documents
+from clicklake.session import scratch_path
 
 
 def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +63,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write(warc.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder)
+    return warc.page_digests(spark, folder)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_quality_model, op2_near_dedup, op3_line_dedup, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id,
-        op8_chat_format, op9_quality_rules, op10_token_counts,
+        op8_chat_format, op9_quality_rules, op10_token_counts, op11_warc, op12_prefix_trie, op13_spelling,
     ]
     return {f.__name__: f for f in found}
 

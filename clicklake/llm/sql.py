@@ -115,3 +115,80 @@ c AS (
   FROM r GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
 FROM c"""
+
+TWINS["op11_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least FROM pages),
+b AS (SELECT *, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+  strlen(body) >= 100 AND least IS NOT NULL AND page_id IS DISTINCT FROM least AS again FROM p)
+SELECT page_id, payload_bytes, sha256(body) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN least END AS refers_to
+FROM b"""
+
+
+def _crc32(codes: str) -> str:
+    """Unsigned CRC-32 of a list of bytes: each byte is followed by eight steps of the shift register."""
+    steps = f"list_prepend(4294967295, flatten(list_transform({codes}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1])))"
+    turn = "CASE WHEN s >= 0 THEN xor(r, s) WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END"
+    return f"xor(list_reduce(CAST({steps} AS BIGINT[]), lambda r, s: CAST({turn} AS BIGINT)), 4294967295)"
+
+
+def _codes(text: str) -> str:
+    """Bytes of a text below U+0800 in UTF-8."""
+    return (
+        f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] "
+        "ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))"
+    )
+
+
+TWINS["op12_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+    sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS u
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list(u ORDER BY turn NULLS FIRST, u) AS us, list(chars ORDER BY turn NULLS FIRST, u) AS cs,
+    {_crc32(_codes("CAST(conv_id AS VARCHAR)"))} % 6 AS h
+  FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.us[1:c.h], []), c.us[c.h + 1:]) AS us, list_concat(coalesce(b.cs[1:c.h], []), c.cs[c.h + 1:]) AS cs
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+m AS (SELECT conv_id, us, cs, unnest(range(0, len(us) + 1)) AS depth FROM r),
+k AS (
+  SELECT conv_id, depth, array_to_string(us[1:depth], ',') AS node, CASE WHEN depth > 0 THEN array_to_string(us[1:depth - 1], ',') END AS parent,
+    us[1:depth] AS path, CASE WHEN depth > 0 THEN cs[depth] ELSE 0 END AS chars, depth = len(us) AS ends FROM m),
+n AS (
+  SELECT node, depth, any_value(parent) AS parent, any_value(path) AS path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM k GROUP BY node, depth),
+kids AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (node, depth)),
+a AS (SELECT path, unnest(range(0, depth + 1)) AS up, n_children = 0 AS leaf, (n_convs - 1) * chars AS saved FROM x),
+s AS (
+  SELECT array_to_string(path[1:up], ',') AS node, up AS depth, count(*) FILTER (WHERE leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM a GROUP BY ALL)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves, s.saved_tokens, x.ends_sha256
+FROM x JOIN s USING (node, depth) LEFT JOIN x p ON p.node = x.parent AND p.depth = x.depth - 1"""
+
+TWINS["op13_spelling"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name,
+    unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+d AS (SELECT name, run, count(*) AS k FROM t WHERE length(run) >= 5 GROUP BY ALL),
+h AS (SELECT *, {_crc32(_codes("name || ':' || run"))} AS h FROM d),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+g AS (SELECT word, n, length(word) AS size, unnest(range(1, length(word) + 1)) AS i FROM w),
+x AS (SELECT *, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM g),
+p AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM x a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM x a JOIN w b ON a.rest = b.word),
+b AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM p GROUP BY word),
+f AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.top >= 2 * w.n THEN b.top END AS form_n,
+    CASE WHEN b.top >= 2 * w.n THEN (SELECT min(other) FROM p WHERE p.word = w.word AND p.other_n = b.top) END AS form
+  FROM w LEFT JOIN b ON b.word = w.word),
+r AS (SELECT word, word AS at FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.at WHERE f.form IS NOT NULL),
+z AS (SELECT r.word, r.at AS root FROM r JOIN f ON f.word = r.at WHERE f.form IS NULL)
+SELECT f.word, f.form, z.root, f.n, f.n_near, f.form_n FROM f JOIN z ON z.word = f.word"""

@@ -1,0 +1,177 @@
+"""Prefix tries and spelling variants against brute force."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clicklake.llm import prefix_trie, spelling
+
+
+def slow_trie(rows):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = role or "", text or ""
+        digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+        turns[conv].append(((turn is not None, turn or 0, digest), (role, text)))
+    turns = {c: [t for _, t in sorted(x)] for c, x in turns.items()}
+    whole = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        whole[c] = tuple(turns.get(c - c % 100, [])[:h] + own[h:])
+    nodes = defaultdict(list)
+    for c, path in whole.items():
+        for d in range(len(path) + 1):
+            nodes[path[:d]].append(c)
+    kids = defaultdict(list)
+    for path in nodes:
+        if path:
+            kids[path[:-1]].append(path)
+    out = []
+    for path, members in nodes.items():
+        below = [p for p in nodes if p[: len(path)] == path]
+        ends = ",".join(map(str, sorted(c for c in members if whole[c] == path)))
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in below if p)
+        out.append((min(members), len(path), min(nodes[path[:-1]]) if path else None, len(members), len(kids[path]),
+                    sum(not kids[p] for p in below), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def fast_trie(spark, rows, partitions=3):
+    found = prefix_trie.trie(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(partitions))
+    return [tuple(r) for r in found.collect()]
+
+
+def by_place(rows):
+    return sorted(rows, key=lambda r: (r[1], r[0], -1 if r[2] is None else r[2], r[3:]))
+
+
+def test_trie_equals_brute_force(spark):
+    draw = random.Random(3)
+    rows = []
+    for c in [*range(60), *range(100, 140), 200, 251, 999, 1000, 1001, *range(5000, 5012)]:
+        rows += [(c, k, draw.choice(["user", "system"]), draw.choice("ab")) for k in range(draw.randint(1, 8))]
+    rows += [(7, None, None, None), (7, 3, "user", None), (8, 0, "user", "a"), (8, 0, "user", "a")]
+    assert by_place(fast_trie(spark, rows)) == by_place(slow_trie(rows))
+
+
+def test_a_long_conversation_is_shared_by_many_tasks(spark):
+    """Three conversations hold nearly all turns and repeat each other, one but for its last turn."""
+    parted = spark.newSession()
+    parted.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(c, k, "user", f"t{k % 7}" + "!" * (c == 101 and k == 899)) for c in (100, 101, 102) for k in range(900)] + [(5, 0, "user", "x")]
+    turns = prefix_trie.stored_turns(parted.createDataFrame(rows, "conv_id long, turn long, role string, text string"), prefix_trie.BASES[0])
+    assert turns.where("conv_id = 100").select("part").distinct().count() > 1
+    found = by_place(fast_trie(parted, rows))
+    assert found == by_place(fast_trie(spark, rows, 1)) and len({(r[0], r[1]) for r in found}) == len(found)
+    # 5 has one turn and base 0, which is absent; of the others, 100 is the base and stays as it is.
+    h = {c: zlib.crc32(str(c).encode()) % 6 for c in (5, 101, 102)}
+    assert h[5] and max(r[1] for r in found) == 900
+    assert [r[3:7] for r in found if r[1] in (0, 1)] == [(4, 1, 2, sum(2 * 2 for _ in range(899)) + 2), (3, 1, 2, 2 * 2 * 899 + 2)]
+    assert [r[2:7] for r in found if r[1] == 900] == [(100, 2, 0, 1, 2), (100, 1, 0, 1, 0)]
+
+
+def test_ends_of_many_conversations_are_digested_in_order(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "_CHUNK", 16)
+    rows = [(c, 0, "user", "the same") for c in range(300)] + [(c, 1, "user", "more") for c in range(0, 300, 3)]
+    assert by_place(fast_trie(spark, rows)) == by_place(slow_trie(rows))
+
+
+def test_equal_fingerprints_of_unlike_prefixes_are_noticed(spark, monkeypatch):
+    """With base 0 every product is 0, so all prefixes of a depth meet; the next bases must be taken."""
+    rows = [(c, k, "user", f"{c % 4} {k}") for c in range(12) for k in range(3)]
+    monkeypatch.setattr(prefix_trie, "BASES", ((0, 0), *prefix_trie.BASES))
+    monkeypatch.setattr(prefix_trie, "pow", lambda b, e, m: pow(b, e, m) if b else 0, raising=False)
+    assert by_place(fast_trie(spark, rows)) == by_place(slow_trie(rows))
+    monkeypatch.setattr(prefix_trie, "BASES", ((0, 0),))
+    with pytest.raises(ArithmeticError):
+        fast_trie(spark, rows)
+
+
+# --- Spelling ------------------------------------------------------------------------------------
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+
+def ranked(words):
+    n = Counter(g for w in words for g in {w[k : k + 2] for k in range(len(w) - 1)})
+    return {g: (k, n[g]) for k, g in enumerate(sorted(n, key=lambda g: (n[g], g)))}
+
+
+def met(words):
+    ranks = ranked(words)
+    grams = {w: spelling.prefix_grams(w, ranks) for w in words}
+    keys = {w: (spelling.pivot_keys(w, g[0]), spelling.prefix_keys(w, g[1])) for w, g in grams.items()}
+    return {(a, b) for a in words for b in words if grams[a][2] <= grams[b][2] and a != b and keys[a][0] & keys[b][1]}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.text("ab", min_size=5, max_size=9), min_size=2, max_size=30) | st.sets(st.text("abcdé", min_size=5, max_size=12), min_size=2, max_size=20))
+def test_no_near_pair_escapes_the_pivots(words):
+    extra = {w[:2] + c + w[2:] for w in words for c in "ab"} | {w[:-1] + "a" for w in words} | {w[1:] for w in words if len(w) > 5}
+    words = sorted(words | extra)
+    found = met(words)
+    assert all((a, b) in found or (b, a) in found for a in words for b in words if near(a, b))
+
+
+def test_pivots_do_not_overlap_and_cost_least():
+    ranks = {"ab": (0, 1), "bc": (1, 1), "cd": (2, 9)}
+    assert spelling.choose_pivots("abcd", [0, 1, 2], ranks) == [0, 2]
+    places, prefix, last = spelling.prefix_grams("a" * 5000, {"aa": (0, 5)})
+    assert places == [0, 2] and len(prefix) == 5 and last == 0
+
+
+def slow_variants(rows):
+    n = Counter()
+    for doc, text in rows:
+        for run in spelling.runs(text or ""):
+            run = run.decode("latin-1")
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= 5 and c >= 3}
+    form, out = {}, {}
+    for w, c in n.items():
+        others = [x for x in n if near(w, x)]
+        top = max(others, key=lambda x: (n[x], [-ord(k) for k in x] + [0]), default=None)
+        tops = sorted(x for x in others if top and n[x] == n[top])
+        form[w] = tops[0] if tops and n[tops[0]] >= 2 * c else None
+        out[w] = (form[w], c, len(others), n[tops[0]] if form[w] else None)
+    def root(w):
+        while form[w]:
+            w = form[w]
+        return w
+    return sorted((w, f or "", root(w), c, k, m or -1) for w, (f, c, k, m) in out.items())
+
+
+def fast_variants(found):
+    return sorted((r.word, r.form or "", r.root, r.n, r.n_near, -1 if r.form_n is None else r.form_n) for r in found.collect())
+
+
+def test_variants_equal_brute_force(spark, make_docs):
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcé") for _ in range(draw.randint(5, 8))) for _ in range(150)]
+    words += [w[:2] + w[3:] for w in words if len(w) > 5] + ["a" * 400, "a" * 399, "a" * 398 + "b"]
+    rows = [(k, " ".join(draw.choices(words, [draw.random() ** 4 for _ in words], k=80))) for k in range(120)]
+    rows += [(None, "Abcab ABCAB abcab×abcab éÉabc"), (900, None), (901, ""), (902, "1,2 ābcdef ÀBCDE àbcde"), (902, "1,2 ābcdef ÀBCDE àbcde"), (903, "àbcde àbcde ÀBCDE ABCAB")]
+    rows += [(1000 + k, " ".join(["qqqqqx"] * 2**k + ["qqqqx"] + ["qqqqqxz"] * 4**k)) for k in range(5)]
+    want = slow_variants(rows)
+    assert any(w[1] and w[2] != w[1] for w in want), "a chain of forms is wanted"
+    assert fast_variants(spelling.variants(make_docs(rows))) == want
+
+
+def test_counts_survive_small_flushes(spark, make_docs, monkeypatch):
+    docs = make_docs([(k, f"letters words{'abcdefgh'[k % 8]} again") for k in range(64)])
+    want = sorted(map(tuple, spelling.count_words(docs).collect()))
+    monkeypatch.setattr(spelling, "_FLUSH", 1)
+    assert sorted(map(tuple, spelling.count_words(docs).collect())) == want

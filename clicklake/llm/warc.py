@@ -27,7 +27,6 @@ from datetime import UTC, datetime
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
@@ -462,13 +461,9 @@ class WarcSource(ds.DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the format known to the session; a child session may know it already."""
+    """Makes the format known to the session. Of several sessions of one application, only one can have it."""
     ship(spark)
-    try:
-        spark.dataSource.register(WarcSource)
-    except AnalysisException as err:
-        if err.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
-            raise
+    spark.dataSource.register(WarcSource)
 
 
 def read(spark: SparkSession, path: str, schema: str = SCHEMA, where: Sequence[tuple] = (), **options: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,14 @@ def resolve_clicks(
     dim_user: DataFrame,
     dim_device: DataFrame,
     broadcast_bytes: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Every click with its dimension keys and, if one that must exist is missing, a reason.
 
     An anonymous click, or one whose user is not in the dimension, gets the Unknown member. There
     is no unknown url or date, so those clicks carry ``reject_reason``. The date and device
-    dimensions are fixed and small; the others go through the skew-safe lookup.
+    dimensions are fixed and small; the others go through the skew-safe lookup. ``keep`` names further
+    columns of the click to carry along.
     """
     # One url per code, so that a repeated code cannot multiply clicks.
     codes = (
@@ -54,6 +58,7 @@ def resolve_clicks(
         .when(F.col("date_key").isNull(), "unknown_date")
         .when(F.col("device_key").isNull(), "unknown_device")
         .alias("reject_reason"),
+        *keep,
     )
 
 

@@ -22,7 +22,7 @@ from clicklake.operators import ledger as lg
 from clicklake.operators.dedup import freshest
 from clicklake.oracle import scatter as scatter_sql
 from clicklake.oracle import with_views
-from clicklake.plans import ingest, metrics, refine
+from clicklake.plans import increments, ingest, metrics, refine
 from clicklake.schemas import SOURCE_TABLES, STAR_KEYS, STAR_LENGTHS, conform
 from clicklake.session import scratch_path
 from clicklake.sinks import formats as sink_formats
@@ -237,6 +237,53 @@ def gold_two_days(spark, sf):
     return refine.read_star(spark, f"{lake}/gold")["dim_url"].select("url_key", "url_id")
 
 
+@register(
+    "silver_incremental",
+    "SELECT * FROM silver",
+    ["silver"],
+)
+def silver_incremental(spark, sf):
+    """Three loads, one after the other: a snapshot, a later one that holds the first, and a batch that overlaps both."""
+    lake = scratch_path(spark, "increments")
+    full, batch = fx.bronze_full(spark, sf), fx.bronze_incremental(spark, sf)
+    top = batch.agg(F.max("id")).first()[0]
+    loads = [
+        lambda: full.where(F.col("id") * 10 <= top * 3).write.parquet(f"{lake}/bronze/clicks/ingestion_date=2024-01-01"),
+        lambda: full.write.parquet(f"{lake}/bronze/clicks/ingestion_date=2024-01-02"),
+        lambda: batch.write.parquet(f"{lake}/bronze/clicks/incremental/watermark_start=000000000000/watermark_end={top:012d}"),
+    ]
+    for load in loads:
+        load()
+        increments.silver_increment(spark, lake)
+    return naive(increments.read_silver(spark, lake).drop("silver_loaded_at"), "occurred_at")
+
+
+@register(
+    "gold_late_members",
+    """SELECT f.click_id, f.date_key, u.url_id, p.user_id, v.device_type, f.short_code, f.occurred_at
+       FROM fact_clicks f JOIN dim_url u ON u.url_key = f.url_key JOIN dim_user p ON p.user_key = f.user_key
+         JOIN dim_device v ON v.device_key = f.device_key""",
+    ["fact_clicks", "dim_url", "dim_user", "dim_device"],
+)
+def gold_late_members(spark, sf):
+    """A third of the urls and a quarter of the users come a day after their first clicks, with further clicks."""
+    lake, urls, users = scratch_path(spark, "late-members"), fx.src_urls(spark, sf), fx.src_users(spark, sf)
+    days = [
+        ("2024-01-01", fx.bronze_full(spark, sf), urls.where("id % 3 <> 0"), users.where("id % 4 <> 0")),
+        ("2024-01-02", fx.bronze_incremental(spark, sf), urls, users),
+    ]
+    for day, clicks, known_urls, known_users in days:
+        clicks.write.parquet(f"{lake}/bronze/clicks/ingestion_date={day}")
+        sinks.write_snapshot(conform(known_urls, SOURCE_TABLES["urls"]), lake, "urls", day)
+        sinks.write_snapshot(conform(known_users, SOURCE_TABLES["users"]), lake, "users", day)
+        increments.silver_increment(spark, lake)
+        increments.gold_increment(spark, lake)
+    star = increments.read_gold(spark, lake)
+    fact = star["fact_clicks"].join(star["dim_url"].select("url_key", "url_id"), "url_key").join(star["dim_user"].select("user_key", "user_id"), "user_key")
+    fact = fact.join(star["dim_device"], "device_key")
+    return naive(fact.select("click_id", "date_key", "url_id", "user_id", "device_type", "short_code", "occurred_at"), "occurred_at")
+
+
 @register(
     "bronze_full_only",
     """SELECT d AS ingestion_date, count(*) AS row_count, max(id) AS max_id FROM src_clicks
@@ -428,6 +475,17 @@ def stream_silver_clicks(spark, sf):
     return naive(spark.read.parquet(f"{work}/clicks").drop("silver_loaded_at"), "occurred_at")
 
 
+@register("stream_silver_merged", _LAKE_SILVER_SQL, ["src_clicks"])
+def stream_silver_merged(spark, sf):
+    """The stream without state: clicks are landed and merged by the ids on record, here twice over."""
+    work, plain = scratch_path(spark, "stream"), fx.configure(spark)
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    for run in ("first", "again"):
+        clicks = fx.clicks_of(silver_stream.bronze_stream(plain, sf, schema, "events.parquet"))
+        silver_stream.merge_available(clicks, work, f"{work}/checkpoint-{run}")
+    return naive(increments.read_silver(spark, work).drop("silver_loaded_at"), "occurred_at")
+
+
 # --- Scalar functions ----------------------------------------------------------------------------
 
 @register(

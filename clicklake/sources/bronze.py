@@ -116,6 +116,17 @@ def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files
         return _read_kinds(spark, None, _leaf_folders(spark, folder), schema)
 
 
+def read_folders(spark: SparkSession, folders: list[str], table: str = "clicks") -> DataFrame:
+    """Rows of some folders (or patterns) of a table only, in its declared types; see ``read_bronze``."""
+    schema = SOURCE_TABLES[table]
+    try:
+        return _scan(spark, None, folders, schema)
+    except Exception as err:
+        if not _disagree(err):
+            raise
+        return _read_kinds(spark, None, folders, schema)
+
+
 def _snapshot(spark: SparkSession, root: str, table: str, days: list[str]) -> DataFrame:
     """Snapshots of some days in the declared types, with their ``ingestion_date``."""
     base = f"{root}/{table}"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from clicklake.operators.silver import clean_clicks
+from clicklake.plans.increments import silver_increment
 from clicklake.schemas import CLICKS
 from clicklake.session import configure
 
@@ -49,3 +50,15 @@ def run_available(clicks: DataFrame, target: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+
+
+def merge_available(bronze: DataFrame, lake: str, checkpoint: str) -> dict[str, int]:
+    """Land all that is available and merge it into the versioned Silver; returns the merge's counts.
+
+    The stream itself keeps no state: it lands rows as they are, each file once. The merge notes the files it has
+    worked in and meets only the bitmaps of the ids that came, so a click that comes again, or years
+    late, is taken once, and what is remembered is a bit per click on disk.
+    """
+    landing = f"{lake}/landing/clicks"
+    run_available(bronze, landing, checkpoint)
+    return silver_increment(bronze.sparkSession, lake, landing, by_file=True)

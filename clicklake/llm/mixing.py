@@ -27,12 +27,30 @@ def word_variety(text: Column) -> Column:
     return F.when(F.size(found) == 0, F.lit(1.0)).otherwise(F.greatest(share, F.lit(0.05)))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """Uniform number in (0, 1] from the id alone, so that reruns agree. A null id draws like an empty one."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(seed)).cast("binary"))
+def draw(doc_id: Column, text_digest: Column, copy: Column, seed: str) -> Column:
+    """Uniform number in (0, 1] of a document: its id, its text and which of the rows with both it is. Reruns agree."""
+    name = [F.coalesce(doc_id.cast("string"), F.lit("")), copy.cast("string"), text_digest, F.lit(seed)]
+    digest = F.md5(F.concat_ws(":", *name).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") + 1) / F.lit(float(2**52))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``copy``: rows with one ``mark`` are numbered from 1, all others are 1.
+
+    Rows that repeat are told apart by ``salt``, which must be stored with them: they are counted per salt, the
+    counts summed over salts, and only rows of one salt numbered together, so no repeated row is one task's.
+    """
+    per_salt = rows.groupBy("mark", "salt").agg(F.count(F.lit(1)).alias("n"))
+    repeated = per_salt.groupBy("mark").agg(F.sum("n").alias("all")).where("all > 1").select("mark")
+    before = F.sum("n").over(Window.partitionBy("mark").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_salt.join(repeated, "mark", "left_semi").select("mark", "salt", F.coalesce(before, F.lit(0)).alias("offset"))
+    offsets = stored(offsets, "mix-copies")
+    once = rows.join(offsets.select("mark").distinct(), "mark", "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    place = F.row_number().over(Window.partitionBy("mark", "salt").orderBy(F.lit(0)))
+    again = rows.join(offsets, ["mark", "salt"]).withColumn("copy", F.col("offset") + place).drop("offset")
+    return once.unionByName(again)
+
+
 def targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Adds ``target`` to one row per source with ``source_size``.
 
@@ -62,14 +80,19 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     )
 
 
-def cell_of(sized: DataFrame, rows_per_cell: int) -> Column:
+def weight_quantiles(sized: DataFrame) -> tuple[int, list[float]]:
+    """Number of rows, and 16 quantiles of their weights: all that reaches the driver."""
+    spots = F.array(*[F.lit((2 * k + 1) / 32) for k in range(16)])
+    n_rows, quantiles = sized.agg(F.count(F.lit(1)), F.percentile_approx("weight", spots)).first()
+    return n_rows, quantiles or []
+
+
+def cell_of(n_rows: int, quantiles: list[float], rows_per_cell: int) -> Column:
     """Cell of a key: a rising function of it that deals rows about evenly.
 
-    A key above t has the probability of the mean of exp(-weight * t) over the documents; 16 quantiles of the
-    weights stand for them. Only these and the row count reach the driver.
+    A key above t has the probability of the mean of exp(-weight * t) over the documents; quantiles of the
+    weights stand for them.
     """
-    spots = F.array(*[F.lit((2 * k + 1) / 32) for k in range(16)])
-    n_rows, quantiles = sized.agg(F.count(F.lit(1)), F.percentile_approx("weight", spots)).first()
     if not n_rows:
         return F.lit(0).cast("long")
     above = sum((F.exp(-F.col("key") * w) for w in quantiles), F.lit(0.0)) / len(quantiles)
@@ -91,8 +114,8 @@ def mix(
     is how often the mix repeats the document, at most three times; ``taken`` is ``copies`` times ``size``.
     The document that crosses the budget is taken if that brings the source nearer to its target. ``quality``
     is a positive weight per document (default: variety of its words); null weighs 1. A null source is a source
-    of its own. Rows that repeat are documents of their own; equal keys fall back on id and size, after which
-    rows no longer differ. An empty table gives no rows; further columns are not looked at, and ``carry`` returns
+    of its own. Every row is a document with a key of its own: rows without an id differ by their text, and rows that
+    repeat by their number; equal keys fall back on id and size, after which rows no longer differ. An empty table gives no rows; further columns are not looked at, and ``carry`` returns
     the whole document as ``row``.
     """
     whole = [F.struct(*docs.columns).alias("row")] if carry else []
@@ -102,12 +125,17 @@ def mix(
         F.col("source").isNull().alias("no_source"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_name"),
         F.size(words(F.col("text"))).cast("long").alias("size"),
-        draw(F.col("doc_id"), seed).alias("draw"),
+        F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"),
         weight.alias("weight"),
+        (F.monotonically_increasing_id() % 1024).alias("salt"),
         *whole,
-    ).withColumn("key", -F.log("draw") / F.col("weight")).drop("draw")
+    )
+    sized = sized.withColumn("mark", F.xxhash64("doc_id", F.col("doc_id").isNull(), *_SOURCE, "digest"))
     sized = stored(sized, "mix-sizes")
-    sized = sized.withColumn("cell", cell_of(sized, rows_per_cell))
+    n_rows, quantiles = weight_quantiles(sized)
+    sized = numbered(sized)
+    sized = sized.withColumn("key", -F.log(draw(F.col("doc_id"), F.col("digest"), F.col("copy"), seed)) / F.col("weight"))
+    sized = sized.withColumn("cell", cell_of(n_rows, quantiles, rows_per_cell))
 
     budgets = targets(sized.groupBy(*_SOURCE).agg(F.sum("size").alias("source_size")), weights)
     in_order = Window.partitionBy(*_SOURCE).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,8 @@ FROM d"""
 TWINS["op6_mixing"] = rf"""
 WITH d AS (
   SELECT doc_id, source, {_WORDS} AS w,
-    (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || 'mix'), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE AS u
+    (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) AS VARCHAR)
+      || ':' || md5(coalesce(text, '')) || ':mix'), 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE AS u
   FROM documents),
 k AS (
   SELECT doc_id, source, CAST(len(w) AS BIGINT) AS size,

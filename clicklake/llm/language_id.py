@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake.llm.common import held_out, ship
+from clicklake.session import stored
 
 ORDER = 3
 UNKNOWN = "und"
@@ -72,13 +73,18 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def build(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int = 8192, least: int = 8) -> Model:
+def build(
+    counts: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int = 8192, least: int = 8, max_cells: int = 1 << 26
+) -> Model:
     """Model from counts of four-byte grams per language.
 
-    A longer context is kept when the languages together have seen it ``least`` times, the most frequent first,
-    up to ``max_contexts`` of three bytes; a text in any other context uses the shorter one.
+    A longer context is kept when the languages together have seen it ``least`` times, up to ``max_contexts`` per
+    order and ``max_cells`` code lengths in all, a quarter of a gigabyte. Each language first gets an equal part of
+    the places for its own most frequent contexts; what is left goes to the most frequent of all. A text in any other
+    context uses the shorter one.
     """
     languages = tuple(sorted(counts))
+    max_contexts = max(1, min(max_contexts, max_cells // (256 * ORDER * max(1, len(languages)))))
     orders, contexts = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
     bits = [_rows(counts, languages, 0, contexts[0], None)]
     previous = contexts[0]
@@ -88,8 +94,7 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int =
         total = np.bincount(at, weights=np.concatenate([n for _, n in counts.values()] or [np.zeros(0)]), minlength=len(found))
         shorter = found & ((1 << 8 * (order - 1)) - 1)
         allowed = np.flatnonzero((total >= least) & np.isin(shorter, previous))
-        allowed = allowed[np.argsort(-total[allowed], kind="stable")][:max_contexts]
-        kept = np.sort(found[allowed])
+        kept = np.sort(found[_fair(allowed, total, at, counts, max_contexts)])
         below = bits[-1][np.searchsorted(previous, kept & ((1 << 8 * (order - 1)) - 1))]
         bits.append(_rows(counts, languages, order, kept, below))
         orders.append(np.full(len(kept), order))
@@ -98,6 +103,19 @@ def build(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int =
     return Model(languages, np.concatenate(orders), np.concatenate(contexts), np.concatenate(bits).astype(np.float32))
 
 
+def _fair(allowed: np.ndarray, total: np.ndarray, at: np.ndarray, counts, places: int) -> np.ndarray:
+    """Of the allowed contexts, an equal number of each language's most frequent, then the most frequent of all."""
+    each, chosen, first = places // max(1, len(counts)), np.zeros(len(total), bool), 0
+    for _, n in counts.values():
+        own = np.bincount(at[first : first + len(n)], weights=n, minlength=len(total))[allowed]
+        first += len(n)
+        best = np.argsort(-own, kind="stable")[:each]
+        chosen[allowed[best[own[best] > 0]]] = True
+    rest = allowed[~chosen[allowed]]
+    rest = rest[np.argsort(-total[rest], kind="stable")][: places - int(chosen.sum())]
+    return np.concatenate([np.flatnonzero(chosen), rest])
+
+
 def _rows(counts, languages: tuple[str, ...], order: int, kept: np.ndarray, below: np.ndarray | None) -> np.ndarray:
     """Code lengths (context, byte, language) of one order, given those of the contexts one byte shorter."""
     out = np.empty((len(kept), 256, len(languages)), np.float64)
@@ -158,25 +176,30 @@ def code_lengths(texts: list[bytes], model: Model, index: np.ndarray) -> np.ndar
 def learn(docs: DataFrame, rows_per_language: int = 400, max_languages: int = 256) -> Model:
     """Model of the languages in ``lang`` from at most ``rows_per_language`` whole texts each, drawn by id hash.
 
-    Rows of the held-out fifth, with a null language or a null text are left out.
+    Rows of the held-out fifth, with a null language or a null text are left out. Of rows that share id and
+    language, however many, the one with the smallest text hash counts, so every language with an id has a text.
+    Equal draws go by id. Of more than ``max_languages`` languages those with the most ids are learned, equal
+    numbers by name. Empty texts teach nothing but their language's name; an empty table gives an empty model, which
+    knows no language; further columns are not looked at.
     """
     ship(docs.sparkSession)
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.xxhash64("doc_id").alias("draw"))
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(max_languages + 1).collect()}
-    if len(sizes) > max_languages:
-        raise ValueError(f"more than {max_languages} languages to learn")
+    named = F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("text_hash")
+    ids = stored(usable.select(*named).groupBy("lang", "doc_id").agg(F.min("text_hash").alias("text_hash")), "language-ids")
+    most = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    sizes = {r["lang"]: r["count"] for r in most.collect()}
     if not sizes:
         return build({})
-    # Draws above four times the wanted share cannot be among the lowest; without them no task sees a whole language.
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 4.0 * rows_per_language / n))])
-    usable = usable.where(F.col("draw") / F.lit(2.0**64) + 0.5 <= share[F.col("lang")])
+    # Of ids with independent draws, more than wanted lie below four times the share and a margin; without the
+    # others no task sees a whole language.
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, (4.0 * rows_per_language + 64) / n))])
+    ids = ids.withColumn("draw", F.xxhash64("doc_id")).where(F.col("draw") / F.lit(2.0**64) + 0.5 <= share[F.col("lang")])
     drawn = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    chosen = usable.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= rows_per_language)
-    chosen = chosen.select("doc_id", F.col("lang").alias("chosen_lang")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(chosen), "doc_id")
-    texts = texts.where((F.col("lang") == F.col("chosen_lang")) & F.col("text").isNotNull())
-    rows = count_grams(texts).toPandas()
+    chosen = ids.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= rows_per_language)
+    chosen = chosen.select("lang", "doc_id", "text_hash")
+    # At most ``rows_per_language`` times ``max_languages`` names, so they can go to every task.
+    texts = usable.select(*named, "text").join(F.broadcast(chosen), ["lang", "doc_id", "text_hash"], "left_semi")
+    rows = count_grams(texts.dropDuplicates(["lang", "doc_id"])).toPandas()
     counts = {
         lang: (part["gram"].to_numpy(np.int64), part["n"].to_numpy(np.int64)) for lang, part in rows.groupby("lang", sort=True)
     }

@@ -100,12 +100,16 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest") -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The documents that stay, one of each group of equal texts, with their own columns."""
+    """The documents that stay, one of each group of equal texts, with their own columns as they were, whatever their names.
+
+    See ``exact_dedup`` for null and empty texts and null ids. Of rows that repeat with id and text any one stays.
+    """
     kept = exact_dedup(docs, keep).where("kept")
     # Ids as text, so that null ids meet; rows that repeat with id and text leave one.
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     chosen = kept.select(name.alias("_name"), F.col("text_sha256").alias("_digest"))
     digest = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
-    own = docs.withColumns({"_name": name, "_digest": digest})
+    # The row travels as one value, so that no name of a column is in the way.
+    own = docs.select(name.alias("_name"), digest.alias("_digest"), F.struct(*docs.columns).alias("row"))
     found = own.join(chosen, ["_name", "_digest"], "left_semi")
-    return found.dropDuplicates(["_name", "_digest"]).select(*docs.columns)
+    return found.dropDuplicates(["_name", "_digest"]).select("row.*")

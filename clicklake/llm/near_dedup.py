@@ -187,7 +187,7 @@ def near_groups(
 
 
 def kept_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, one of each group, with their own columns.
+    """The documents that stay, one of each group, with their own columns as they were, whatever their names.
 
     Of a group the row with the smallest id stays, null ids last, and of rows that share it the one with the
     smallest text hash, once. Documents without words are groups of their own; such rows that repeat with id and
@@ -200,5 +200,6 @@ def kept_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("one")
     chosen = kept.groupBy("label", alone.alias("alone")).agg(least)
     chosen = chosen.select(name(F.col("one.doc_id")).alias("_name"), F.col("one.text_hash").alias("_hash"))
-    own = docs.withColumns({"_name": name(F.col("doc_id").cast("long")), "_hash": F.xxhash64("text")})
-    return own.join(chosen, ["_name", "_hash"], "left_semi").dropDuplicates(["_name", "_hash"]).select(*docs.columns)
+    # The row travels as one value, so that no name of a column is in the way.
+    own = docs.select(name(F.col("doc_id").cast("long")).alias("_name"), F.xxhash64("text").alias("_hash"), F.struct(*docs.columns).alias("row"))
+    return own.join(chosen, ["_name", "_hash"], "left_semi").dropDuplicates(["_name", "_hash"]).select("row.*")

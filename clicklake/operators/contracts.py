@@ -39,6 +39,13 @@ def load_contract(path: str | os.PathLike) -> dict:
         raise ContractError(f"cannot read contract {path}") from err
     if not isinstance(contract, dict) or not {"table", "columns"} <= contract.keys():
         raise ContractError(f"contract {path} needs 'table' and 'columns'")
+    for column in contract["columns"]:
+        # Compared with nothing, a column would pass whatever it holds.
+        lacking = [k for k in ("name", "type", "nullable") if not isinstance(column, dict) or column.get(k) is None]
+        if lacking:
+            raise ContractError(f"contract {path}: column {column} lacks {', '.join(lacking)}")
+        if column["type"] not in TYPE_CATEGORIES or not isinstance(column["nullable"], bool):
+            raise ContractError(f"contract {path}: column {column['name']} has no known type, or nullable is no boolean")
     return contract
 
 

@@ -12,11 +12,12 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clicklake.operators.dedup import freshest
 from clicklake.operators.ledger import current_runs, last_watermark
 from clicklake.schemas import ERROR_TEXT_LIMIT, RUN_EVENTS, empty
 from clicklake.sinks.tables import append, write_batch, write_snapshot
 from clicklake.sources.bronze import watermark_from_snapshot
-from clicklake.sources.listing import exists
+from clicklake.sources.listing import exists, list_files
 from clicklake.sources.relational import Source, full_scan, incremental_scan, upper_bound
 
 logger = logging.getLogger(__name__)
@@ -108,6 +109,25 @@ class Ledger:
     def runs(self) -> DataFrame:
         return current_runs(self.events())
 
+    def compact(self) -> int:
+        """Fold the events so far into one row per run; returns how many files went.
+
+        The folded rows are added before the files they come from are dropped. In between, and after a crash
+        there, both are read, and folding both gives the same. Events that are added meanwhile stay.
+        """
+        if not exists(self.spark, self.path):
+            return 0
+        files = [r["path"] for r in list_files(self.spark, self.path).select("path").collect()]
+        if len(files) < 2:
+            return 0
+        events = self.spark.read.schema(RUN_EVENTS).parquet(*files)
+        folded = freshest(events, ["run_id"], ["event_seq"]).select(*RUN_EVENTS.names)
+        append(folded.coalesce(1), self.path)
+        for path in files:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(target, False)
+        return len(files)
+
 
 def full_load(source: Source, lake: str, ledger: Ledger, pipeline: str, table: str) -> Run:
     """Copy a whole table into today's snapshot. A failure is recorded and raised again."""
@@ -128,11 +148,13 @@ def incremental_load(
     table: str,
     overlap: int = 0,
     skip_null_watermarks: bool = False,
+    still_ours: Callable[[], None] = lambda: None,
 ) -> Run:
     """Copy the rows above the last watermark into a batch of their own.
 
     Nothing new is a success that writes nothing and keeps the watermark. ``overlap`` reads the
     last ids again for sources where a lower id may be committed late; Silver drops the repeats.
+    ``still_ours`` is called before the batch is made known and raises if another load has taken over.
     """
     run = ledger.start(pipeline, table, "incremental")
     try:
@@ -143,6 +165,7 @@ def incremental_load(
             return ledger.succeed(run, rows_read=0, rows_written=0, watermark_start=start, watermark_end=start)
         batch = incremental_scan(rows, max(start - overlap, 0) if overlap else start, end)
         key, written = write_batch(batch, lake, table, start, end)
+        still_ours()
         return ledger.succeed(
             run, rows_read=written, rows_written=written, watermark_start=start, watermark_end=end, bronze_key=key
         )

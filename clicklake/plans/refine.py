@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from clicklake.operators import dims, facts
 from clicklake.operators.silver import COPIES, clean_clicks, deduplicate_counting, valid_clicks
-from clicklake.schemas import DIM_URL, DIM_USER, FACT_CLICKS, SILVER_CLICKS, STAR_TABLES, empty
+from clicklake.schemas import CLICKS, DIM_URL, DIM_USER, FACT_CLICKS, SILVER_CLICKS, STAR_TABLES, empty
 from clicklake.sinks.tables import publish, publish_split, recover
-from clicklake.sources.bronze import latest_snapshot_day, read_bronze, read_date_range, read_snapshots
+from clicklake.sources.bronze import MISFITS, latest_snapshot_day, read_bronze, read_date_range, read_rescued, read_snapshots
 from clicklake.sources.listing import exists
 
 # Parts that one day's clicks are dealt into, so that a day with a third of them is not one task's.
@@ -43,6 +43,15 @@ def silver_job(spark: SparkSession, lake: str, own_files: bool = False) -> dict[
     }
 
 
+def misfits_job(spark: SparkSession, lake: str) -> dict[str, int]:
+    """Values of Bronze clicks that do not fit -> ``silver/misfits``; returns their number by column, in one pass."""
+    rows = read_rescued(spark, f"{lake}/bronze").where(F.size(MISFITS) > 0)
+    counts = [F.count_if(F.map_contains_key(MISFITS, name)).alias(name) for name in CLICKS.names]
+    publish(rows, f"{lake}/silver/misfits")
+    # The table has the misfit rows only, and is counted as it was written.
+    return spark.read.schema(rows.schema).parquet(f"{lake}/silver/misfits").agg(*counts).first().asDict()
+
+
 def explore_job(spark: SparkSession, lake: str) -> int:
     """Valid clicks of the full snapshots -> ``explore/clicks``; returns their number, in one pass."""
     seen = Observation()

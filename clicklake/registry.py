@@ -28,7 +28,7 @@ from clicklake.session import scratch_path
 from clicklake.sinks import formats as sink_formats
 from clicklake.sinks import tables as sinks
 from clicklake.sources import bronze as src_bronze
-from clicklake.sources import formats, generators, listing, relational
+from clicklake.sources import footers, formats, generators, listing, relational
 from clicklake.streaming import silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,6 +353,97 @@ def roundtrip_formats(spark, sf):
     )
 
 
+def _scan_of(fmt: str) -> None:
+    """Full scan of an extract of the clicks in one format."""
+
+    @register(
+        f"scan_{'jsonl' if fmt == 'json' else fmt}",
+        """SELECT CAST(id AS BIGINT) AS id, short_code, occurred_at, device_type, hashed_ip, CAST(user_id AS BIGINT) AS user_id
+           FROM src_clicks""",
+        ["src_clicks"],
+    )
+    def query(spark, sf):
+        path = scratch_path(spark, f"extract-{fmt}")
+        sink_formats.write(conform(fx.src_clicks(spark, sf), SOURCE_TABLES["clicks"]), path, fmt)
+        return naive(formats.scan(spark, path, fmt), "occurred_at")
+
+
+_scan_of("csv")
+_scan_of("json")
+
+
+@register(
+    "repartition_invariance",
+    """SELECT CAST(n AS INTEGER) AS partitions, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS id_sum, count(DISTINCT short_code) AS codes, count(occurred_at) AS timed
+       FROM src_clicks CROSS JOIN (VALUES (1), (7), (32)) AS v(n) GROUP BY n""",
+    ["src_clicks"],
+)
+def repartition_invariance(spark, sf):
+    """The same figures in any number of partitions."""
+    clicks, report = fx.src_clicks(spark, sf), None
+    for n in (1, 7, 32):
+        row = sinks.repartitioned(clicks, n).agg(
+            F.lit(n).alias("partitions"), F.count(F.lit(1)).alias("row_count"), F.sum("id").alias("id_sum"),
+            F.countDistinct("short_code").alias("codes"), F.count("occurred_at").alias("timed"),
+        )
+        report = row if report is None else report.unionByName(row)
+    return report
+
+
+@register(
+    "footer_counts",
+    """SELECT d AS ingestion_date, count(*) AS row_count, min(id) AS min_id, max(id) AS max_id FROM src_clicks
+       JOIN (VALUES ('2024-01-01', 3), ('2024-01-02', 5), ('2024-01-03', 7)) AS s(d, tenths)
+         ON id * 10 <= (SELECT max(id) FROM src_clicks) * tenths
+       GROUP BY d""",
+    ["src_clicks"],
+)
+def footer_counts(spark, sf):
+    """Rows and id bounds of each snapshot, from footers alone."""
+    root, report = f"{_lake(spark, sf)}/bronze", None
+    for day in listing.partition_values(spark, f"{root}/clicks", "ingestion_date"):
+        found = footers.footer_bounds(spark, [f"{root}/clicks/ingestion_date={day}"], "clicks")
+        row = found.select(F.lit(day).alias("ingestion_date"), "row_count", F.col("min_value").alias("min_id"), F.col("max_value").alias("max_id"))
+        report = row if report is None else report.unionByName(row)
+    return report
+
+
+@register(
+    "footer_watermark",
+    """SELECT max(id) AS watermark,
+         (SELECT count(*) FROM src_clicks WHERE id * 10 > (SELECT max(id) FROM src_clicks) * 7) AS rows_above
+       FROM src_clicks WHERE id * 10 <= (SELECT max(id) FROM src_clicks) * 7""",
+    ["src_clicks"],
+)
+def footer_watermark(spark, sf):
+    watermark = footers.watermark_from_footers(spark, f"{_lake(spark, sf)}/bronze")
+    above = relational.incremental_scan(fx.src_clicks(spark, sf), watermark)
+    return above.agg(F.lit(watermark).cast("bigint").alias("watermark"), F.count(F.lit(1)).alias("rows_above"))
+
+
+@register(
+    "bronze_misfits",
+    """SELECT 'id' AS column_name, concat('x', CAST(id AS VARCHAR)) AS value FROM src_clicks WHERE id % 2 = 0 AND id % 11 = 0
+       UNION ALL SELECT 'user_id', concat(CAST(id AS VARCHAR), '.5') FROM src_clicks WHERE id % 2 = 1 AND id % 13 = 0
+       UNION ALL SELECT 'user_id', '1.0E30' FROM src_clicks WHERE id % 2 = 1 AND id % 13 <> 0 AND id % 17 = 0
+       UNION ALL SELECT 'occurred_at', 'soon' FROM src_clicks WHERE id % 2 = 1 AND id % 19 = 0""",
+    ["src_clicks"],
+)
+def bronze_misfits(spark, sf):
+    """Two foreign loads: ids as text, some of them none; fractional and far too large users, a time in words."""
+    lake, clicks = scratch_path(spark, "misfits"), fx.src_clicks(spark, sf)
+    named = clicks.where("id % 2 = 0").withColumn("id", F.expr("concat(CASE WHEN id % 11 = 0 THEN 'x' ELSE '' END, CAST(id AS STRING))"))
+    odd = clicks.where("id % 2 = 1").withColumns({
+        "user_id": F.expr("CASE WHEN id % 13 = 0 THEN id + 0.5D WHEN id % 17 = 0 THEN 1e30D ELSE user_id END"),
+        "occurred_at": F.expr("CASE WHEN id % 19 = 0 THEN 'soon' ELSE CAST(occurred_at AS STRING) END"),
+    })
+    named.write.parquet(f"{lake}/bronze/clicks/ingestion_date=2024-01-01")
+    odd.write.parquet(f"{lake}/bronze/clicks/ingestion_date=2024-01-02")
+    refine.misfits_job(spark, lake)
+    kept = spark.read.parquet(f"{lake}/silver/misfits")
+    return kept.select(F.explode(src_bronze.MISFITS).alias("column_name", "value"))
+
+
 @register(
     "table_counts",
     """SELECT 'clicks' AS "table", count(*) AS row_count, coalesce(max(id), 0) AS max_id FROM src_clicks
@@ -700,6 +791,12 @@ _metric(
     "SELECT u.short_code, count(*) AS total_clicks FROM fact_clicks f JOIN dim_url u ON f.url_key = u.url_key GROUP BY 1",
     ["dim_url"],
 )
+_metric(
+    "m_clicks_from_id", lambda s: metrics.total_clicks_per_url(s["fact_clicks"], s["dim_url"], min_click_id=500),
+    """SELECT u.short_code, count(*) AS total_clicks FROM fact_clicks f JOIN dim_url u ON f.url_key = u.url_key
+       WHERE f.click_id >= 500 GROUP BY 1""",
+    ["dim_url"],
+)
 _metric(
     "m_clicks_over_time", lambda s: metrics.clicks_over_time(s["fact_clicks"], s["dim_date"]),
     "SELECT d.full_date, count(*) AS clicks FROM fact_clicks f JOIN dim_date d ON f.date_key = d.date_key GROUP BY 1 ORDER BY 1",
@@ -1017,6 +1114,23 @@ def dq_immutable_rows(spark, sf):
     return quality.changed_rows(before, later, "id")
 
 
+@register(
+    "dq_immutable_ranges",
+    """SELECT id, CASE WHEN trim(short_code) = '' THEN 'vanished' ELSE 'changed' END AS change FROM src_clicks
+       WHERE (trim(short_code) = '' OR (occurred_at IS NULL AND device_type IS DISTINCT FROM 'desktop'))
+         AND id < (SELECT max(id) FROM src_clicks) / 4""",
+    ["src_clicks"],
+)
+def dq_immutable_ranges(spark, sf):
+    """As ``dq_immutable_rows``, but only the first quarter of the ids has changed: ranges above it agree."""
+    before = fx.src_clicks(spark, sf)
+    early = F.col("id") < before.agg(F.max("id")).first()[0] / 4
+    later = before.where(~early | (F.trim("short_code") != "")).withColumn(
+        "device_type", F.when(early & F.col("occurred_at").isNull(), "desktop").otherwise(F.col("device_type"))
+    )
+    return quality.changed_rows_by_range(before, later, "id", width=1024)
+
+
 @register(
     "dq_monotonic_ids",
     """SELECT min(id) AS min_id, max(id) AS max_id,

@@ -36,13 +36,20 @@ def _reader(spark: SparkSession, base: str | None) -> DataFrameReader:
     return reader.option("basePath", base) if base else reader.option("recursiveFileLookup", "true")
 
 
-def _scan(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType) -> DataFrame:
+#: Column of the values of a row that do not fit their declared columns, as text by column name.
+MISFITS = "misfits"
+
+
+def _scan(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType, rescue: bool = False) -> DataFrame:
     """Scan of folders whose files have the same physical types, in the declared types of the table.
 
     Spark reads the footers in a distributed job. A plain read refuses nanosecond columns, so whatever it
     accepts has none; else times that come as whole numbers are nanoseconds. A type that cannot be read, or
-    can never become the declared one, ends the read with the folder and column.
+    can never become the declared one, ends the read with the folder and column. With ``rescue``, values that
+    do not fit come along in ``MISFITS``.
     """
+    lost = []
+
     try:
         rows, nanos = _reader(spark, base).parquet(*folders), False
     except AnalysisException as err:
@@ -64,9 +71,20 @@ def _scan(spark: SparkSession, base: str | None, folders: list[str], schema: T.S
             if not nanos:
                 raise TypeError(f"column {field.name} of {folders[0]} holds numbers, not times")
             value = F.timestamp_micros(F.expr(f"`{field.name}` div 1000"))
-        return value.try_cast(field.dataType).alias(field.name)
-
-    return rows.select(*map(column, schema))
+        cast = value.try_cast(field.dataType)
+        wrong = value.isNotNull() & cast.isNull()
+        if isinstance(field.dataType, T.IntegralType) and isinstance(have, T.FractionalType):
+            # A fraction is cut off; the value it had is kept.
+            wrong = wrong | (value != cast)
+        lost.append(F.when(wrong, F.struct(F.lit(field.name).alias("key"), value.cast("string").alias("value"))))
+        return cast.alias(field.name)
+
+    columns = [column(field) for field in schema]
+    if not rescue:
+        return rows.select(*columns)
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    found = F.map_from_entries(F.array_compact(F.array(*lost)) if lost else none)
+    return rows.select(*columns, found.alias(MISFITS))
 
 
 def _leaf_folders(spark: SparkSession, root: str) -> list[str]:
@@ -77,7 +95,7 @@ def _leaf_folders(spark: SparkSession, root: str) -> list[str]:
     return [f"{x}/*.parquet" if x in above else x for x in found]
 
 
-def _read_kinds(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType) -> DataFrame:
+def _read_kinds(spark: SparkSession, base: str | None, folders: list[str], schema: T.StructType, rescue: bool = False) -> DataFrame:
     """One scan for each kind of physical types among the folders."""
     kinds: dict[str, list[str]] = {}
     for folder in folders:
@@ -86,7 +104,7 @@ def _read_kinds(spark: SparkSession, base: str | None, folders: list[str], schem
         except AnalysisException:
             kind = "nanos " + _reader(_nano_session(spark), base).parquet(folder).schema.json()
         kinds.setdefault(kind, []).append(folder)
-    return reduce(DataFrame.unionByName, [_scan(spark, base, paths, schema) for _, paths in sorted(kinds.items())])
+    return reduce(DataFrame.unionByName, [_scan(spark, base, paths, schema, rescue) for _, paths in sorted(kinds.items())])
 
 
 def _disagree(err: Exception) -> bool:
@@ -116,6 +134,23 @@ def read_bronze(spark: SparkSession, root: str, table: str = "clicks", own_files
         return _read_kinds(spark, None, _leaf_folders(spark, folder), schema)
 
 
+def read_rescued(spark: SparkSession, root: str, table: str = "clicks") -> DataFrame:
+    """``read_bronze`` with ``MISFITS``: by column, the text of each value that is no value of its declared type.
+
+    These are texts that are no number or time, numbers out of range and fractions in whole-number columns; the
+    column itself has what ``read_bronze`` gives. A row without any has an empty map.
+    """
+    schema, folder = SOURCE_TABLES[table], f"{root}/{table}"
+    if not has_files(spark, folder):
+        raise FileNotFoundError(f"no Bronze files of {table} under {root}")
+    try:
+        return _scan(spark, None, [folder], schema, rescue=True)
+    except Exception as err:
+        if not _disagree(err):
+            raise
+        return _read_kinds(spark, None, _leaf_folders(spark, folder), schema, rescue=True)
+
+
 def read_folders(spark: SparkSession, folders: list[str], table: str = "clicks") -> DataFrame:
     """Rows of some folders (or patterns) of a table only, in its declared types; see ``read_bronze``."""
     schema = SOURCE_TABLES[table]

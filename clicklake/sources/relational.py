@@ -78,8 +78,8 @@ def incremental_scan(rows: DataFrame, watermark: int, upper: int | None = None)
     """Rows above the watermark, up to ``upper`` if given.
 
     The bounds are pushed to the scan. A pinned upper bound makes parallel reads agree on the
-    batch while the table still grows. Rows are ordered by id within partitions only; that keeps
-    file statistics tight without a global sort.
+    batch while the table still grows. The scan orders nothing; the write of a batch sorts by id within
+    partitions, which keeps file statistics tight without a global sort.
     """
     batch = rows.where(F.col("id") > watermark)
     if upper is not None:

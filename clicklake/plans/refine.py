@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,6 @@ from clicklake.sinks.tables import publish, publish_split, recover
 from clicklake.sources.bronze import MISFITS, latest_snapshot_day, read_bronze, read_date_range, read_rescued, read_snapshots
 from clicklake.sources.listing import exists
 
-# Parts that one day's clicks are dealt into, so that a day with a third of them is not one task's.
-PARTS_PER_DAY = 16
-
 
 def silver_clicks(bronze: DataFrame) -> DataFrame:
     """Clean, distinct clicks."""
@@ -91,7 +90,6 @@ def publish_star(
     order: list[str] | None = None,
     broadcast_bytes: int | None = None,
     by_day: bool = True,
-    parts_per_day: int = PARTS_PER_DAY,
 ) -> None:
     """Build the star schema below ``gold``.
 
@@ -100,8 +98,8 @@ def publish_star(
     ``fact_rejects``, the clicks that cannot get a url or date.
 
     The fact lies in one directory per day, or in one for all with ``by_day=False``, which suits a small lake.
-    Its rows are dealt out by day and a hash of the click, so that a day with a third of all clicks is
-    shared by ``parts_per_day`` tasks; the rebalance merges what is small.
+    Its rows are rebalanced by day: Spark measures the days as they are shuffled, gives a day with a third of all
+    clicks to as many tasks as its bytes ask for, and small days to one task together, a file each.
     """
     spark = silver.sparkSession
     old = old or {}
@@ -112,10 +110,16 @@ def publish_star(
     devices = dims.devices(spark)
     if previous("dim_device") is not None:
         devices = old["dim_device"].unionByName(dims.insert_missing(old["dim_device"], devices, "device_type"))
-    publish(dims.calendar(spark).coalesce(1), f"{gold}/dim_date")
-    publish(devices.coalesce(1), f"{gold}/dim_device")
-    publish(dims.stamped(dims.dim_url(urls, previous("dim_url"), order), DIM_URL), f"{gold}/dim_url")
-    publish(dims.stamped(dims.dim_user(users, previous("dim_user"), order), DIM_USER), f"{gold}/dim_user")
+    # The dimensions do not need each other, so their jobs run side by side.
+    jobs = [
+        lambda: publish(dims.calendar(spark).coalesce(1), f"{gold}/dim_date"),
+        lambda: publish(devices.coalesce(1), f"{gold}/dim_device"),
+        lambda: publish(dims.stamped(dims.dim_url(urls, previous("dim_url"), order), DIM_URL), f"{gold}/dim_url"),
+        lambda: publish(dims.stamped(dims.dim_user(users, previous("dim_user"), order), DIM_USER), f"{gold}/dim_user"),
+    ]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
 
     star = read_star(spark, gold)
     resolved = facts.resolve_clicks(
@@ -128,8 +132,7 @@ def publish_star(
         F.when(F.col("reject_reason").isNull(), "fact_clicks").otherwise("fact_rejects").alias("_table"),
     )
     days = ["date_key"] if by_day else []
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64("click_id"), F.lit(parts_per_day)))
-    rows = rows.hint("rebalance", "date_key", "_part").sortWithinPartitions("_table", "date_key").drop("_part")
+    rows = rows.hint("rebalance", "date_key").sortWithinPartitions("_table", "date_key")
     publish_split(rows, "_table", {name: f"{gold}/{name}" for name in ("fact_clicks", "fact_rejects")}, days)
 
 

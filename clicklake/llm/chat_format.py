@@ -10,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clicklake.session import stored
+
+# A conversation by two columns that are never null, so that plain joins find the one without an id as well.
+_CONV = ["no_conv", "conv"]
+_SPANS_PER_GROUP = 64
+
 # Marks of the template, and what follows < or [ in the control strings that texts may not hold.
 OPEN, MIDDLE, CLOSE = "<s>", "<|>", "</s>"
 _TAILS = r"(/?s>|\|>|/?<?/?SYS>>|/?INST\])"
@@ -37,6 +43,33 @@ def _render(turns: Column) -> Column:
     )
 
 
+def _before(column: str, order: str) -> Column:
+    """Sum over what is earlier in the conversation."""
+    earlier = Window.partitionBy(*_CONV).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+
+
+def _numbered(turns: DataFrame, step: int) -> DataFrame:
+    """Turns with ``start``, the tokens before them in their conversation, and the ``span`` that follows from it.
+
+    A block is what one range has of a conversation, so the only windows by conversation have a row per block.
+    """
+    ordered = ["no_conv", "conv", "turn", "role", "text"]
+    # The id has the range in its upper bits and the place there in the lower 33. Storing it fixes both.
+    dealt = turns.repartitionByRange(*ordered).sortWithinPartitions(*ordered).withColumn("at", F.monotonically_increasing_id())
+    dealt = stored(dealt.drop("turn"), "chat-turns").withColumn("block", F.shiftright("at", 33))
+    blocks = dealt.groupBy(*_CONV, "block").agg(F.sum("tokens").alias("sum"))
+    blocks = blocks.select(*_CONV, "block", _before("sum", "block").alias("before"))
+    inside = Window.partitionBy(*_CONV, "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
+    numbered = dealt.join(blocks, [*_CONV, "block"]).withColumn("start", start)
+    return numbered.withColumn("span", F.floor(F.col("start") / step)).drop("block", "before", "at")
+
+
+def _group() -> Column:
+    return F.expr(f"span div {_SPANS_PER_GROUP}").alias("group")
+
+
 def windows(conversations: DataFrame, budget: int = 1024, history: int = 256) -> DataFrame:
     """One row per window: ``conv_id, window, n_repeated, formatted, loss_spans``.
 
@@ -45,41 +78,53 @@ def windows(conversations: DataFrame, budget: int = 1024, history: int = 256) ->
     multiple of ``budget - history`` tokens; its last turn may go past it, and a turn is never cut. History
     turns fit ``history`` tokens. A conversation's first turn is repeated if its role is system.
 
-    Turns are ordered by number, null first, ties by role and text; repeated rows are turns of their own. Null
-    texts and roles count as empty, a null conv_id is a conversation of its own. An empty table gives no rows;
-    further columns are not looked at.
+    Turns are ordered by number, null first, ties by role and text; repeated rows are turns of their own, and lie in
+    one range. Null texts and roles count as empty, a null conv_id is a conversation of its own. An empty table gives
+    no rows; further columns are not looked at.
     """
     if not 0 <= history < budget:
         raise ValueError("history must be smaller than the budget")
     step = budget - history
     turns = conversations.select(
         "conv_id", "turn",
+        F.col("conv_id").isNull().alias("no_conv"),
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"),
         escape(F.coalesce("role", F.lit(""))).alias("role"),
         escape(F.coalesce("text", F.lit(""))).alias("text"),
         (count_tokens(F.coalesce("text", F.lit(""))) + 4).cast("long").alias("tokens"),
     )
-    in_order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    start = F.coalesce(F.sum("tokens").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    turns = turns.withColumns({"start": start, "place": F.row_number().over(in_order)})
-    turns = turns.withColumn("span", F.floor(F.col("start") / step))
-    own = F.array_sort(F.collect_list(F.struct("place", "role", "text", "start", "tokens")))
-    spans = turns.groupBy("conv_id", "span").agg(own.alias("own"))
-
-    by_span = Window.partitionBy("conv_id").orderBy("span")
-    spans = spans.select(
-        "conv_id", "own",
-        (F.row_number().over(by_span) - 1).alias("window"),
-        F.lag("own").over(by_span).alias("earlier"),
-        F.first(F.col("own")[0]).over(by_span).alias("first_turn"),
-    )
-    repeats_first = (F.col("window") > 0) & (F.col("first_turn")["role"] == "system")
+    numbered = _numbered(turns, step)
+    turn = F.struct("start", "role", "text", "tokens")
+    # Every turn has tokens, so a conversation's first is the only one with none before it.
+    first = numbered.where("start = 0 AND role = 'system'").select(*_CONV, turn.alias("first_turn"))
+    groups = numbered.select(*_CONV, "span").distinct().groupBy(*_CONV, _group()).agg(F.count(F.lit(1)).alias("n"))
+    groups = groups.select(*_CONV, "group", _before("n", "group").alias("windows_before")).join(first, _CONV, "left")
+
+    spans = numbered.groupBy("conv_id", *_CONV, "span").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    last = F.element_at("turns", -1)
+    spans = spans.withColumn("end", last["start"] + last["tokens"])
     recent = F.filter(
-        F.coalesce("earlier", F.slice("own", 1, 0)),
-        lambda t: (F.col("own")[0]["start"] - t["start"] <= history)
-        & ~((t["place"] == F.col("first_turn")["place"]) & (F.col("first_turn")["role"] == "system")),
+        "turns", lambda t: (F.col("end") - t["start"] <= history) & ~((t["start"] == 0) & (t["role"] == "system"))
     )
+    # The next span, if there is one, begins where this one ends. Its history goes before it in the order of rows.
+    # Only the last span of a conversation can end within its own multiple of the step.
+    own = F.struct("span", F.lit(1).alias("own"), "turns")
+    later = F.struct(F.floor(F.col("end") / step).alias("span"), F.lit(0).alias("own"), recent.alias("turns"))
+    rows = spans.select("conv_id", *_CONV, F.inline(F.when(later["span"] > F.col("span"), F.array(own, later)).otherwise(F.array(own))))
+    in_group = Window.partitionBy(*_CONV, "group").orderBy("span", "own")
+    rows = rows.withColumn("group", _group()).join(groups, [*_CONV, "group"])
+    rows = rows.withColumns({
+        "window": F.col("windows_before") + F.sum("own").over(in_group.rowsBetween(Window.unboundedPreceding, -1)),
+        "prior": F.lag(F.struct("span", "own", "turns")).over(in_group),
+    })
+    is_history = (F.col("prior")["own"] == 0) & (F.col("prior")["span"] == F.col("span"))
+    spans = rows.where("own = 1").select(
+        "conv_id", F.coalesce("window", "windows_before").alias("window"), "first_turn", F.col("turns").alias("own"),
+        F.when(is_history, F.col("prior")["turns"]).otherwise(F.slice("turns", 1, 0)).alias("recent"),
+    )
+    repeats_first = (F.col("window") > 0) & F.col("first_turn").isNotNull()
     spans = spans.withColumn(
-        "again", F.concat(F.when(repeats_first, F.array("first_turn")).otherwise(F.slice("own", 1, 0)), recent)
+        "again", F.concat(F.when(repeats_first, F.array("first_turn")).otherwise(F.slice("own", 1, 0)), F.col("recent"))
     )
     spans = spans.withColumn("front", _render(F.col("again")))
     # Place of each own text: marks and roles before it, summed in one fold over the turns.

@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -155,6 +156,56 @@ def test_windows_cover_turns_once_within_budget(spark):
     assert chat_format.digests(chat_format.windows(empty)).count() == 0
 
 
+def plain_windows(rows, budget, history):
+    """Windows of each conversation by one walk over its turns: {conv: [(repeated turns, own turns)]}."""
+    convs = {}
+    for conv, turn, role, text in rows:
+        convs.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for conv, turns in convs.items():
+        made, at, before = [], 0, []
+        for _, _, role, text in sorted(turns):
+            span = at // (budget - history)
+            if not made or made[-1][0] != span:
+                first = [t[1:] for t in made[0][2][:1] if t[1] == "system"] if made else []
+                again = [t[1:] for t in before if at - t[0] <= history and not (t[0] == 0 and t[1] == "system")]
+                made.append((span, first + again, []))
+                before = made[-1][2]
+            made[-1][2].append((at, role, text))
+            at += len(regex.findall(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]", text)) + 4
+        out[conv] = [(again, [t[1:] for t in own]) for _, again, own in made]
+    return out
+
+
+@pytest.mark.parametrize(("budget", "history"), [(60, 20), (60, 55), (1024, 256)])
+def test_windows_against_a_walk_over_turns(spark, budget, history):
+    """A third of all turns in the conversation without an id; ties, repeats, nulls, a long turn, clashing columns."""
+    rng = np.random.default_rng(5)
+    roles = ["system", "user", "assistant", None]
+    rows = []
+    for k in range(1500):
+        conv = None if k % 3 == 0 else int(rng.integers(0, 12))
+        text = None if k % 50 == 0 else " ".join(["<s> w, 1"] * int(rng.integers(0, 12)))
+        rows.append((conv, None if k % 40 == 0 else int(rng.integers(0, 300)), roles[int(rng.integers(0, 4))], text))
+    rows += rows[:100] + [(50, 0, "system", "be kind"), (50, 1, "user", "x " * 20_000), (50, 2, "assistant", ""), (51, None, None, None)]
+    kinds = "conv_id long, turn long, role string, text string, block int, span int, at int, own int, conv string"
+    given = spark.createDataFrame([(*r, 1, 2, 3, 4, "c") for r in rows], kinds).repartition(7)
+    made = chat_format.windows(given, budget, history).withColumn("turns", chat_format.read_turns(F.col("formatted")))
+    found = {}
+    for r in made.orderBy("conv_id", "window").collect():
+        turns = [tuple(t) for t in r.turns]
+        assert r.window == len(found.setdefault(r.conv_id, []))
+        found[r.conv_id].append((turns[: r.n_repeated], turns[r.n_repeated :]))
+        said = [chat_format_plain(r.formatted[s.start : s.start + s.length]) for s in r.loss_spans]
+        assert said == [text for role, text in turns[r.n_repeated :] if role == "assistant"]
+    assert found == plain_windows(rows, budget, history)
+
+
+def chat_format_plain(text):
+    """A text without the escapes of the template."""
+    return regex.sub(r"([<\[])\\(\\*(?:/?s>|\|>|/?<?/?SYS>>|/?INST\]))", r"\1\2", text)
+
+
 def test_pipeline_stages(spark, sf):
     docs = documents(spark, sf)
     names = docs.columns

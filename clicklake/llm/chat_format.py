@@ -14,7 +14,6 @@ from clicklake.session import stored
 
 # A conversation by two columns that are never null, so that plain joins find the one without an id as well.
 _CONV = ["no_conv", "conv"]
-_SPANS_PER_GROUP = 64
 
 # Marks of the template, and what follows < or [ in the control strings that texts may not hold.
 OPEN, MIDDLE, CLOSE = "<s>", "<|>", "</s>"
@@ -43,31 +42,59 @@ def _render(turns: Column) -> Column:
     )
 
 
-def _before(column: str, order: str) -> Column:
-    """Sum over what is earlier in the conversation."""
-    earlier = Window.partitionBy(*_CONV).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+def _earlier(order: str, *within: str):
+    """Window over what is earlier in the conversation (in a block of it)."""
+    return Window.partitionBy(*_CONV, *within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _numbered(turns: DataFrame, step: int) -> DataFrame:
-    """Turns with ``start``, the tokens before them in their conversation, and the ``span`` that follows from it.
+def _before(column: str | Column, order: str, *within: str) -> Column:
+    return F.coalesce(F.sum(column).over(_earlier(order, *within)), F.lit(0))
 
-    A block is what one range has of a conversation, so the only windows by conversation have a row per block.
-    """
+
+def _dealt(turns: DataFrame) -> DataFrame:
+    """Turns in ranges, numbered: ``at`` has the range in its upper bits (``block``) and the place there in the lower 33."""
     ordered = ["no_conv", "conv", "turn", "role", "text"]
-    # The id has the range in its upper bits and the place there in the lower 33. Storing it fixes both.
     dealt = turns.repartitionByRange(*ordered).sortWithinPartitions(*ordered).withColumn("at", F.monotonically_increasing_id())
-    dealt = stored(dealt.drop("turn"), "chat-turns").withColumn("block", F.shiftright("at", 33))
-    blocks = dealt.groupBy(*_CONV, "block").agg(F.sum("tokens").alias("sum"))
-    blocks = blocks.select(*_CONV, "block", _before("sum", "block").alias("before"))
-    inside = Window.partitionBy(*_CONV, "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
-    numbered = dealt.join(blocks, [*_CONV, "block"]).withColumn("start", start)
-    return numbered.withColumn("span", F.floor(F.col("start") / step)).drop("block", "before", "at")
+    # Storing it fixes the numbers.
+    return stored(dealt.drop("turn"), "chat-turns").withColumn("block", F.shiftright("at", 33))
 
 
-def _group() -> Column:
-    return F.expr(f"span div {_SPANS_PER_GROUP}").alias("group")
+def _homes(dealt: DataFrame, step: int, history: int) -> DataFrame:
+    """Per conversation and block in which spans of it begin (``home``): ``before`` tokens and ``windows_before`` it,
+    ``begins`` (the first turn that does not belong to an earlier home), ``next_home`` and ``tail`` (the first turn of the
+    history it repeats). No text is read.
+    """
+    turns = dealt.select(*_CONV, "block", "at", "tokens")
+    sums = turns.groupBy(*_CONV, "block").agg(F.sum("tokens").alias("sum"))
+    sums = sums.select(*_CONV, "block", _before("sum", "block").alias("offset"))
+    turns = turns.withColumn("inside", _before("tokens", "at", "block")).join(sums, [*_CONV, "block"])
+    turns = turns.withColumn("start", F.col("offset") + F.col("inside")).withColumn("span", F.floor(F.col("start") / step))
+    end = F.max(F.col("start") + F.col("tokens")).over(Window.partitionBy(*_CONV, "span"))
+    spans = turns.withColumn("end", end).groupBy(*_CONV, "span").agg(
+        F.min("at").alias("begins"), F.min("start").alias("start"),
+        F.min(F.when(F.col("end") - F.col("start") <= history, F.col("at"))).alias("tail"),
+    )
+    homes = spans.groupBy(*_CONV, F.shiftright("begins", 33).alias("home")).agg(
+        F.min("begins").alias("begins"), F.min("start").alias("before"), F.count(F.lit(1)).alias("n"), F.max_by("tail", "span").alias("tail"),
+    )
+    following = F.lead("home").over(Window.partitionBy(*_CONV).orderBy("home"))
+    return stored(homes.withColumns({"windows_before": _before("n", "home"), "next_home": following}), "chat-homes")
+
+
+def _sent_home(dealt: DataFrame, homes: DataFrame) -> DataFrame:
+    """Turns with their ``home``, and once more (``own`` 0) those that the next home repeats as history."""
+    pairs = dealt.groupBy(*_CONV, "block").agg(F.min("at").alias("least"), F.max("at").alias("most"))
+    pairs = pairs.join(homes.select(*_CONV, F.col("home").alias("block"), F.col("home"), "begins"), [*_CONV, "block"], "left")
+    pairs = pairs.withColumn("earlier_home", F.last("home", ignorenulls=True).over(_earlier("block")))
+    # Only the first conversation of a range can come from an earlier one, only the last can go on: a row per range.
+    moved = pairs.where("begins IS NULL OR begins > least").select("block", F.coalesce("begins", F.col("most") + 1).alias("until"), "earlier_home")
+    repeated = homes.where("next_home IS NOT NULL").select("home", "tail", "next_home")
+    home = F.when(F.col("at") < F.col("until"), F.col("earlier_home")).otherwise(F.col("block"))
+    turns = dealt.join(F.broadcast(moved), "block", "left").withColumn("home", home).join(F.broadcast(repeated), "home", "left")
+    own = F.struct("home", F.lit(1).alias("own"))
+    again = F.struct(F.col("next_home").alias("home"), F.lit(0).alias("own"))
+    places = F.when(F.col("at") >= F.col("tail"), F.array(own, again)).otherwise(F.array(own))
+    return turns.select("conv_id", *_CONV, "role", "text", "tokens", "at", F.inline(places))
 
 
 def windows(conversations: DataFrame, budget: int = 1024, history: int = 256) -> DataFrame:
@@ -93,39 +120,35 @@ def windows(conversations: DataFrame, budget: int = 1024, history: int = 256) ->
         escape(F.coalesce("text", F.lit(""))).alias("text"),
         (count_tokens(F.coalesce("text", F.lit(""))) + 4).cast("long").alias("tokens"),
     )
-    numbered = _numbered(turns, step)
-    turn = F.struct("start", "role", "text", "tokens")
-    # Every turn has tokens, so a conversation's first is the only one with none before it.
-    first = numbered.where("start = 0 AND role = 'system'").select(*_CONV, turn.alias("first_turn"))
-    groups = numbered.select(*_CONV, "span").distinct().groupBy(*_CONV, _group()).agg(F.count(F.lit(1)).alias("n"))
-    groups = groups.select(*_CONV, "group", _before("n", "group").alias("windows_before")).join(first, _CONV, "left")
-
-    spans = numbered.groupBy("conv_id", *_CONV, "span").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    last = F.element_at("turns", -1)
-    spans = spans.withColumn("end", last["start"] + last["tokens"])
-    recent = F.filter(
-        "turns", lambda t: (F.col("end") - t["start"] <= history) & ~((t["start"] == 0) & (t["role"] == "system"))
-    )
-    # The next span, if there is one, begins where this one ends. Its history goes before it in the order of rows.
-    # Only the last span of a conversation can end within its own multiple of the step.
-    own = F.struct("span", F.lit(1).alias("own"), "turns")
-    later = F.struct(F.floor(F.col("end") / step).alias("span"), F.lit(0).alias("own"), recent.alias("turns"))
-    rows = spans.select("conv_id", *_CONV, F.inline(F.when(later["span"] > F.col("span"), F.array(own, later)).otherwise(F.array(own))))
-    in_group = Window.partitionBy(*_CONV, "group").orderBy("span", "own")
-    rows = rows.withColumn("group", _group()).join(groups, [*_CONV, "group"])
-    rows = rows.withColumns({
-        "window": F.col("windows_before") + F.sum("own").over(in_group.rowsBetween(Window.unboundedPreceding, -1)),
-        "prior": F.lag(F.struct("span", "own", "turns")).over(in_group),
+    dealt = _dealt(turns)
+    homes = _homes(dealt, step, history)
+    opening = F.struct("at", "role", F.when(F.col("role") == "system", F.col("text")).alias("text"))
+    first = dealt.groupBy(*_CONV).agg(F.min_by(opening, "at").alias("first_turn"))
+    homes_with_first = homes.select(*_CONV, "home", "before", "windows_before").join(first, _CONV)
+    rows = _sent_home(dealt, homes).join(homes_with_first, [*_CONV, "home"])
+    # History comes first in the order of turns, counts nothing, and so falls to the first span of its home.
+    start = F.col("before") + _before(F.col("tokens") * F.col("own"), "at", "home")
+    rows = rows.withColumn("start", start).withColumn("span", F.floor(F.col("start") / step))
+    turn = F.struct("at", "own", "start", "role", "text")
+    spans = rows.groupBy("conv_id", *_CONV, "home", "span").agg(
+        F.array_sort(F.collect_list(turn)).alias("turns"), F.first("first_turn").alias("first_turn"),
+        F.first("windows_before").alias("windows_before"),
+    )
+    spans = spans.withColumns({
+        "own": F.filter("turns", lambda t: t["own"] == 1), "sent": F.filter("turns", lambda t: t["own"] == 0),
     })
-    is_history = (F.col("prior")["own"] == 0) & (F.col("prior")["span"] == F.col("span"))
-    spans = rows.where("own = 1").select(
-        "conv_id", F.coalesce("window", "windows_before").alias("window"), "first_turn", F.col("turns").alias("own"),
-        F.when(is_history, F.col("prior")["turns"]).otherwise(F.slice("turns", 1, 0)).alias("recent"),
+    in_home = Window.partitionBy(*_CONV, "home").orderBy("span")
+    spans = spans.select(
+        "conv_id", "own", "sent", "first_turn",
+        (F.col("windows_before") + F.row_number().over(in_home) - 1).alias("window"), F.lag("own").over(in_home).alias("prior"),
     )
-    repeats_first = (F.col("window") > 0) & F.col("first_turn").isNotNull()
-    spans = spans.withColumn(
-        "again", F.concat(F.when(repeats_first, F.array("first_turn")).otherwise(F.slice("own", 1, 0)), F.col("recent"))
-    )
+    system = F.col("first_turn")["role"] == "system"
+    near = F.filter("prior", lambda t: F.col("own")[0]["start"] - t["start"] <= history)
+    recent = F.filter(F.coalesce(near, "sent"), lambda t: ~(system & (t["at"] == F.col("first_turn")["at"])))
+    said = lambda turns: F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    repeats_first = (F.col("window") > 0) & system
+    again = F.concat(said(F.when(repeats_first, F.array("first_turn")).otherwise(F.slice(F.array("first_turn"), 1, 0))), said(recent))
+    spans = spans.withColumn("again", again).select("conv_id", "window", "again", said("own").alias("own"))
     spans = spans.withColumn("front", _render(F.col("again")))
     # Place of each own text: marks and roles before it, summed in one fold over the turns.
     fixed, tail = len(OPEN) + len(MIDDLE), len(CLOSE)

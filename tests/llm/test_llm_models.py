@@ -177,13 +177,25 @@ def plain_windows(rows, budget, history):
     return out
 
 
-@pytest.mark.parametrize(("budget", "history"), [(60, 20), (60, 55), (1024, 256)])
-def test_windows_against_a_walk_over_turns(spark, budget, history):
+@pytest.fixture(params=[1, 13, 90])
+def ranges(spark, request):
+    """So many ranges, few turns each in the end: spans, history and single conversations lie across several of them."""
+    names = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in old.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize(("budget", "history"), [(60, 55), (300, 120)])
+def test_windows_against_a_walk_over_turns(spark, ranges, budget, history):
     """A third of all turns in the conversation without an id; ties, repeats, nulls, a long turn, clashing columns."""
     rng = np.random.default_rng(5)
     roles = ["system", "user", "assistant", None]
     rows = []
-    for k in range(1500):
+    for k in range(700):
         conv = None if k % 3 == 0 else int(rng.integers(0, 12))
         text = None if k % 50 == 0 else " ".join(["<s> w, 1"] * int(rng.integers(0, 12)))
         rows.append((conv, None if k % 40 == 0 else int(rng.integers(0, 300)), roles[int(rng.integers(0, 4))], text))

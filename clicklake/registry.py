@@ -22,11 +22,12 @@ from clicklake.operators import ledger as lg
 from clicklake.operators.dedup import freshest
 from clicklake.oracle import scatter as scatter_sql
 from clicklake.oracle import with_views
-from clicklake.plans import increments, ingest, metrics, refine
-from clicklake.schemas import SOURCE_TABLES, STAR_KEYS, STAR_LENGTHS, conform
+from clicklake.plans import clustering, increments, ingest, metrics, refine
+from clicklake.schemas import FACT_CLICKS, SOURCE_TABLES, STAR_KEYS, STAR_LENGTHS, conform
 from clicklake.session import scratch_path
 from clicklake.sinks import formats as sink_formats
 from clicklake.sinks import tables as sinks
+from clicklake.sinks.versions import Dataset, added
 from clicklake.sources import bronze as src_bronze
 from clicklake.sources import footers, formats, generators, listing, relational
 from clicklake.streaming import silver_stream
@@ -712,6 +713,17 @@ def fact_clicks_shuffled(spark, sf):
     return naive(refine.read_star(spark, gold)["fact_clicks"].drop("row_loaded_at"), "occurred_at")
 
 
+@register("fact_clustered", "SELECT * FROM fact_clicks", ["fact_clicks"])
+def fact_clustered(spark, sf):
+    """The fact in two loads of many small files, then in fewer, ordered along days and urls."""
+    lake = Dataset(spark, scratch_path(spark, "clustered"))
+    fact = _star(spark, sf)["fact_clicks"]
+    loads = [fact.where(f"pmod(click_id, 2) = {k}").repartition(12) for k in range(2)]
+    lake.change(lambda base: ({"fact_clicks": added(lake.stage(loads[0], "fact_clicks-1"), lake.stage(loads[1], "fact_clicks-2"))}, {}))
+    clustering.cluster(lake, "fact_clicks", FACT_CLICKS, ["date_key", "url_key"], target_bytes=64 << 10)
+    return naive(lake.read(lake.current(), "fact_clicks", FACT_CLICKS).drop("row_loaded_at"), "occurred_at")
+
+
 @register("fact_clicks", "SELECT * FROM fact_clicks", ["fact_clicks"])
 def fact_clicks(spark, sf):
     return naive(_star(spark, sf)["fact_clicks"].drop("row_loaded_at"), "occurred_at")

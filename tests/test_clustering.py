@@ -1,0 +1,115 @@
+"""Small files made into larger ones along several columns."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklake.operators import storage
+from clicklake.plans import clustering
+from clicklake.schemas import empty
+from clicklake.sinks.versions import WHOLE, Dataset, added
+from clicklake.sources.listing import list_files
+
+KINDS = "id bigint, day int, url int, seen timestamp, note string"
+
+
+def clicks(spark, n, start=0):
+    """A third of the rows on one url and day, some without a url."""
+    return spark.range(start, start + n).selectExpr(
+        "id", "if(id % 3 = 0, 7, cast(xxhash64(id) & 31 as int)) AS day",
+        "if(id % 3 = 0, 70, if(id % 17 = 0, null, cast(xxhash64(id, 1) & 255 as int))) AS url",
+        "timestamp_seconds(id * 977) AS seen", "sha2(cast(id as string), 256) AS note",
+    )
+
+
+@pytest.fixture
+def data(spark, tmp_path):
+    data = Dataset(spark, str(tmp_path / "set"))
+    data.change(lambda base: ({"t": data.stage(clicks(spark, 6000).repartition(24), "t-1")}, {}))
+    return data
+
+
+def rows(data, version=None):
+    schema = empty_schema(data.spark)
+    return sorted(map(str, data.read(version or data.current(), "t", schema).collect()))
+
+
+def empty_schema(spark):
+    return spark.createDataFrame([], KINDS).schema
+
+
+def of_files(data):
+    table = data.read(data.current(), "t", empty_schema(data.spark)).withColumn("f", F.input_file_name())
+    return table.groupBy("f").agg(
+        F.min("url").alias("a"), F.max("url").alias("b"), F.min("day").alias("c"), F.max("day").alias("d"), F.count("*").alias("n")
+    ).collect()
+
+
+def hit(files, low, high, value):
+    return sum(f[low] is not None and f[low] <= value <= f[high] for f in files)
+
+
+def test_fewer_files_and_fewer_of_them_read(spark, data):
+    before, old, had = rows(data), data.current(), of_files(data)
+    size = storage.storage_stats(list_files(spark, data.root).select("path", "length"), "file:").first()["total_bytes"]
+    made = clustering.cluster(data, "t", empty_schema(spark), ["day", "url"], target_bytes=size // 8)
+    files = of_files(data)
+    assert rows(data) == before == rows(data, old)
+    assert made["folders"] == 1 and len(files) <= made["files"] < len(had)
+    # Every file had every day and url; now a filter on either leaves most unread.
+    assert hit(had, "a", "b", 200) == len(had) and hit(had, "c", "d", 20) == len(had)
+    assert hit(files, "a", "b", 200) <= 0.6 * len(files) and hit(files, "c", "d", 20) <= 0.6 * len(files)
+    # The hot url and day are in several files.
+    assert max(f["n"] for f in files) < 2.5 * 6000 / len(files)
+
+
+def test_only_small_folders_are_written_anew(spark, data):
+    schema, target = empty_schema(spark), 40_000
+    clustering.cluster(data, "t", schema, ["day", "url"], target_bytes=target)
+    first = data.current()
+    assert clustering.cluster(data, "t", schema, ["day", "url"], target_bytes=target) == {"parts": 0, "folders": 0, "files": 0}
+    assert data.current().number == first.number
+    more = clicks(spark, 300, 6000).repartition(9)
+    data.change(lambda base: ({"t": added(base.tables["t"], data.stage(more, "t-2"))}, base.notes))
+    expected = rows(data)
+    assert clustering.cluster(data, "t", schema, ["day", "url"], target_bytes=target)["folders"] == 1
+    assert rows(data) == expected and first.tables["t"][WHOLE][0] in data.current().tables["t"][WHOLE]
+
+
+def test_parts_stay_parts(spark, data):
+    schema = empty_schema(spark)
+    stage = lambda k: data.stage(clicks(spark, 600, 600 * k).repartition(3), f"p-{k}", "day")
+    data.change(lambda base: ({"t": added(added(stage(1), stage(2)), stage(3))}, {}))
+    expected, parts = rows(data), set(data.current().tables["t"])
+    made = clustering.cluster(data, "t", schema, ["url", "seen"], by="day")
+    after = data.current().tables["t"]
+    assert rows(data) == expected and set(after) == parts and made["parts"] == len(parts)
+    assert all(len(folders) == 1 for folders in after.values())
+    day = next(iter(parts))
+    kept = data.read(data.current(), "t", schema, data.folders(data.current(), "t", [day]))
+    assert {str(r.day) for r in kept.select("day").distinct().collect()} == {day}
+
+
+def test_curve_against_plain_interleaving(spark):
+    values = [(None, 3.0), (5, None), *((random.Random(k).randrange(50), float(k)) for k in range(200))]
+    df = spark.createDataFrame(values, "a int, b double")
+    found = df.withColumn("z", clustering.curve(df, ["a", "b"], bits=3, error=0.0)).collect()
+    bounds = [sorted(set(x)) for x in df.select(F.col("a").cast("double"), "b").approxQuantile(["a", "b"], [k / 8 for k in range(1, 8)], 0.0)]
+    for r in found:
+        places = [0 if v is None else sum(x <= v for x in b) for v, b in zip((r.a, r.b), bounds, strict=True)]
+        assert r.z == sum((places[k] >> bit & 1) << (2 * bit + k) for bit, k in itertools.product(range(3), range(2)))
+    with pytest.raises(ValueError):
+        clustering.curve(df, [])
+    with pytest.raises(ValueError):
+        clustering.curve(df, ["a", "b"], bits=32)
+
+
+def test_nothing_to_cluster(spark, tmp_path):
+    data = Dataset(spark, str(tmp_path / "none"))
+    schema = empty_schema(spark)
+    assert clustering.cluster(data, "t", schema, ["day"])["folders"] == 0 and data.current().number == 0
+    data.change(lambda base: ({"t": data.stage(empty(spark, schema).repartition(2), "t-1")}, {}))
+    clustering.cluster(data, "t", schema, ["day"])
+    assert rows(data) == []

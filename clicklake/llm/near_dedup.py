@@ -101,6 +101,36 @@ def _spread(n, size: int):
     return F.pmod(F.xxhash64("set_key", "bucket"), F.ceil(n / size)).cast("int")
 
 
+def _parts(n, size: int):
+    """One row for every part that ``_spread`` deals ``n`` classes into."""
+    return F.explode(F.sequence(F.lit(0), F.ceil(n / size).cast("int") - 1))
+
+
+def _meet(rows: DataFrame, buckets: DataFrame, size: int) -> DataFrame:
+    """Joins members of buckets to rows about their buckets, part by part, so that no task gets a large bucket.
+
+    Both sides know the number ``n`` of a bucket's classes; the rows about it are repeated once per ``size`` of them.
+    """
+    dealt = buckets.withColumn("part", _parts(F.col("n"), size)).drop("n")
+    return rows.withColumn("part", _spread(F.col("n"), size)).join(dealt, ["bucket", "part"])
+
+
+def _members(in_bands: DataFrame, buckets: DataFrame, rows: int, heavy: int = 4096) -> DataFrame:
+    """``bucket, n, band, set_key`` of the ``rows`` of ``in_bands`` that lie in one of ``buckets``.
+
+    The members do not know yet how large their bucket is. Fewer than ``heavy`` buckets hold more than one in
+    ``heavy`` of all rows; their numbers are sent to all tasks, and only they are dealt into parts.
+    """
+    size = max(rows // heavy, 1)
+    large = buckets.where(F.col("n") > size)
+    known = F.broadcast(large.select("bucket", "n"))
+    asking = in_bands.join(known, "bucket", "left")
+    asking = asking.withColumn("part", F.when(F.col("n").isNull(), 0).otherwise(_spread(F.col("n"), size))).drop("n")
+    once = buckets.where(F.col("n") <= size).withColumn("part", F.lit(0))
+    dealt = once.unionByName(large.withColumn("part", _parts(F.col("n"), size)))
+    return asking.join(dealt, ["bucket", "part"]).select("bucket", "n", "band", "set_key")
+
+
 def _tasks(rows: DataFrame, chunk: int) -> DataFrame:
     """Second-round tasks of buckets (``bucket, n, set_key, label``) whose classes are apart.
 
@@ -111,17 +141,14 @@ def _tasks(rows: DataFrame, chunk: int) -> DataFrame:
     small = rows.where(F.col("n") <= chunk).select("bucket", zero.alias("block"), zero.alias("part"), "set_key", "label")
     large = rows.where(F.col("n") > chunk)
     groups = large.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-    heads = groups.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("all"))
-    heads = heads.select(
-        "bucket", F.col("top.label").alias("top"),
-        F.ceil(F.col("all") / chunk).cast("int").alias("parts"), F.ceil((F.col("all") - F.col("top.k")) / chunk).cast("int").alias("blocks"),
-    ).where("blocks > 0")
-    large = large.join(heads, "bucket")
-    up_to = lambda n: F.explode(F.sequence(zero, F.col(n) - 1))
-    hashed = lambda n: F.pmod(F.xxhash64("set_key", "bucket"), F.col(n)).cast("int")
-    whole = large.select("bucket", up_to("blocks").alias("block"), hashed("parts").alias("part"), "set_key", "label")
+    heads = groups.groupBy("bucket").agg(F.max(F.struct("k", "label")).alias("top"), F.sum("k").alias("n"))
+    heads = heads.select("bucket", "n", F.col("top.label").alias("top"), (F.col("n") - F.col("top.k")).alias("others")).where("others > 0")
+    large = _meet(large, heads, chunk)
+    whole = large.select("bucket", _parts(F.col("others"), chunk).alias("block"), "part", "set_key", "label")
     apart = large.where(F.col("label") != F.col("top"))
-    asking = apart.select("bucket", hashed("blocks").alias("block"), up_to("parts").alias("part"), "set_key", "label")
+    asking = apart.select(
+        "bucket", _spread(F.col("others"), chunk).alias("block"), _parts(F.col("n"), chunk).alias("part"), "set_key", "label"
+    )
     return small.unionByName(whole).unionByName(asking)
 
 
@@ -140,8 +167,8 @@ def _grouped(docs: DataFrame, shingle_words: int, percent: int, first_bands: int
     )
     # Bands that hold the same classes are compared once.
     buckets = buckets.where("n > 1").groupBy("n", "low", "mark").agg(F.min("band").alias("band"), F.min("bucket").alias("bucket"))
-    members = in_bands.drop("band").join(buckets.select("bucket", "n", "band"), "bucket")
-    members = stored(members.select("bucket", "n", "band", "set_key"), "near-members")
+    buckets = stored(buckets.select("bucket", "n", "band"), "near-buckets")
+    members = stored(_members(in_bands.drop("band"), buckets, sh.BANDS * classes.count()), "near-members")
     wanted = members.select("set_key").distinct().join(classes.select("set_key", "one"), "set_key")
     wanted = wanted.select("set_key", "one.doc_id", "one.text_hash")
     sets = stored(_sets(docs, wanted, shingle_words), "near-sets")
@@ -152,8 +179,8 @@ def _grouped(docs: DataFrame, shingle_words: int, percent: int, first_bands: int
 
     labelled = members.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "set_key"))
-    apart = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("bucket")
-    rest = stored(labelled.join(apart, "bucket").select("bucket", "n", "set_key", "label"), "near-apart")
+    apart = labelled.groupBy("bucket", "n").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l != h").select("bucket", "n")
+    rest = stored(_meet(labelled, apart, chunk).select("bucket", "n", "set_key", "label"), "near-apart")
     more = _linked(_tasks(rest, chunk), sets, percent)
     known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = components(known.unionByName(more))

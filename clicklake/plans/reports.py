@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from clicklake.schemas import SMALL_FILE_BYTES
 from clicklake.sources.listing import bronze_objects, list_files, stored_keys
 
 Report = tuple[DataFrame, bool]
+# How the reports over a lake list its files: ``list_files``, or ``walk_files`` where there are very many.
+Lister = Callable[[SparkSession, str], DataFrame]
 
 
 def contracts_report(
@@ -30,22 +33,26 @@ def stale_report(ledger: Ledger, now: datetime, max_runtime_minutes: int = 60) -
     return stale, stale.isEmpty()
 
 
-def reconcile_report(spark: SparkSession, lake: str, ledger: Ledger, pipeline: str, table: str | None = None) -> Report:
+def reconcile_report(
+    spark: SparkSession, lake: str, ledger: Ledger, pipeline: str, table: str | None = None, lister: Lister = list_files
+) -> Report:
     """Drift between ledger and storage. The storage side covers all of Bronze, or one table of it."""
     folder = f"{lake}/bronze" + (f"/{table}" if table else "")
-    stored, recorded = stored_keys(list_files(spark, folder), lake=lake), lg.success_keys(ledger.runs(), pipeline)
+    stored, recorded = stored_keys(lister(spark, folder), lake=lake), lg.success_keys(ledger.runs(), pipeline)
     orphans = storage.orphaned_objects(stored, recorded).selectExpr("'orphaned' AS kind", "bronze_key")
     missing = storage.missing_objects(stored, recorded).selectExpr("'missing' AS kind", "bronze_key")
     drift = orphans.unionByName(missing)
     return drift, drift.isEmpty()
 
 
-def storage_report(spark: SparkSession, lake: str, prefix: str = "bronze/") -> Report:
-    return storage.storage_stats(bronze_objects(list_files(spark, f"{lake}/bronze"), lake=lake), prefix), True
+def storage_report(spark: SparkSession, lake: str, prefix: str = "bronze/", lister: Lister = list_files) -> Report:
+    return storage.storage_stats(bronze_objects(lister(spark, f"{lake}/bronze"), lake=lake), prefix), True
 
 
-def layout_of_table(spark: SparkSession, lake: str, table: str, small_file_bytes: int = SMALL_FILE_BYTES) -> Report:
-    files = list_files(spark, f"{lake}/bronze/{table}")
+def layout_of_table(
+    spark: SparkSession, lake: str, table: str, small_file_bytes: int = SMALL_FILE_BYTES, lister: Lister = list_files
+) -> Report:
+    files = lister(spark, f"{lake}/bronze/{table}")
     return storage.layout_report(files, small_file_bytes), True
 
 
